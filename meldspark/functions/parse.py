@@ -80,12 +80,14 @@ def parse_decimal(text: Column | str, precision: int = 12, scale: int = 2, comma
 def parse_whole_number(text: Column | str) -> Column:
     """64-bit whole number; "12.5" rounds half away from zero to 13, 0x and 0b forms are read."""
     raw = trim_spaces(text)
-    number = _number_text(raw)
-    fraction = F.regexp_replace(number, r"(\.[0-9]{18})[0-9]+\z", "$1").try_cast("decimal(38,18)")
-    based = F.when(number.rlike(r"\A0[xX][0-9a-fA-F]{1,16}\z"), F.conv(F.substring(number, 3, 16), 16, 10)).when(
-        number.rlike(r"\A0[bB][01]{1,64}\z"), F.conv(F.substring(number, 3, 64), 2, 10)
+    digits = (
+        F.when(raw.rlike(r"\A0[xX][0-9a-fA-F]{1,16}\z"), F.conv(F.substring(raw, 3, 16), 16, 10))
+        .when(raw.rlike(r"\A0[bB][01]{1,64}\z"), F.conv(F.substring(raw, 3, 64), 2, 10))
+        .when(raw.rlike(r"\A[\x00-\x7f]+\z"), F.regexp_replace(raw, r"(?<=[0-9])_(?=[0-9])|(?<=\.[0-9]{18})[0-9]+", ""))
+    )
+    return F.coalesce(
+        raw.try_cast("bigint"), F.round(digits.try_cast("decimal(38,18)"), 0).try_cast("bigint")
     )
-    return F.coalesce(number.try_cast("bigint"), F.round(fraction, 0).try_cast("bigint"), based.try_cast("bigint"))
 
 
 def parse_boolean(text: Column | str) -> Column:

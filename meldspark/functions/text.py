@@ -28,7 +28,8 @@ def trim_spaces(text: Column | str) -> Column:
 
 
 def blank_to_null(text: Column | str) -> Column:
-    return F.nullif(trim_spaces(text), F.lit(""))
+    clean = trim_spaces(text)
+    return F.when(clean != "", clean)
 
 
 def lower_text(text: Column | str) -> Column:
@@ -36,36 +37,34 @@ def lower_text(text: Column | str) -> Column:
     return F.lower(F.replace(F.replace(_col(text), F.lit("Σ"), F.lit("σ")), F.lit("İ"), F.lit("i")))
 
 
+@lru_cache(maxsize=1)
+def _stubborn_letters() -> dict[str, str]:
+    """Letters whose full upper case is longer than one letter, with the single letter to use instead."""
+    letters = [chr(c) for c in range(0x80, 0x20000) if not 0xD800 <= c <= 0xDFFF and len(chr(c).upper()) > 1]
+    return {c: "ẞ" if c == "ß" else c.title() if len(c.title()) == 1 else c for c in letters}
+
+
 def upper_letter(letter: Column) -> Column:
     """Upper case of one letter that stays one letter (full case mapping may give two or three)."""
-    upper, title = F.upper(letter), F.initcap(letter)
-    return (
-        F.when(letter == "ß", F.lit("ẞ"))
-        .when(F.length(upper) <= 1, upper)
-        .when(F.length(title) == 1, title)
-        .otherwise(letter)
-    )
+    single = _stubborn_letters()
+    return F.when(
+        letter.isin(list(single)), F.translate(letter, "".join(single), "".join(single.values()))
+    ).otherwise(F.upper(letter))
 
 
 def proper_case(text: Column | str) -> Column:
     """First letter of the trimmed text upper, all the rest lower; blank gives NULL."""
-    clean = blank_to_null(text)
-    return F.concat(upper_letter(F.left(clean, F.lit(1))), lower_text(F.substring(clean, 2, 2**31 - 1)))
+    clean = trim_spaces(text)
+    return F.when(
+        clean != "", F.concat(upper_letter(F.left(clean, F.lit(1))), lower_text(F.substring(clean, 2, 2**31 - 1)))
+    )
 
 
 def title_case(text: Column | str) -> Column:
-    """A capital after anything that is not a letter: "u.s.a." gives "U.S.A."."""
-    letters = F.split(_col(text), "")
-    return F.array_join(
-        F.transform(
-            letters,
-            lambda letter, i: F.when(
-                (i == 0) | ~F.element_at(letters, F.when(i == 0, 1).otherwise(i).cast("int")).rlike(r"\p{L}"),
-                F.initcap(letter),
-            ).otherwise(F.lower(letter)),
-        ),
-        "",
-    )
+    """A capital after anything that is not a cased letter: "u.s.a." gives "U.S.A."."""
+    cased = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
+    runs = F.regexp_extract_all(_col(text), F.lit(f"[{cased}]+|[^{cased}]+"), F.lit(0))
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def spelling_key(text: Column | str) -> Column:

@@ -228,10 +228,12 @@ def defect_counts(records: DataFrame) -> DataFrame:
 
 
 def source_counts(records: DataFrame) -> DataFrame:
-    """Rows written and repeated customers per source."""
+    """Per source: rows written, records that repeat an earlier customer, and new customers."""
+    first = F.col("copy") == 0
     return records.groupBy("source").agg(
         F.count(F.lit(1)).alias("records"),
-        F.count_if((F.col("copy") == 0) & F.col("repeated")).alias("also_in_earlier_sources"),
+        F.count_if(first & F.col("repeated")).alias("also_in_earlier_sources"),
+        F.count_if(first & ~F.col("repeated")).alias("new_customers"),
     )
 
 
@@ -245,25 +247,15 @@ def manifest(records: DataFrame, seed: int, dirty_share: float, overlap_share: f
         .groupBy("source")
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("defect", "records")))).alias("defects"))
     )
-    unique = (
-        records.filter(~F.col("repeated"))
-        .groupBy("customer_id")
-        .agg(F.min("source").alias("source"))
-        .groupBy("source")
-        .agg(F.count(F.lit(1)).alias("new_customers"))
-    )
     report = F.struct("records", "also_in_earlier_sources", "defects")
     return (
         source_counts(records)
         .join(defects, "source", "left")
-        .join(unique, "source", "left")
         .agg(
             F.lit(seed).alias("seed"),
             F.lit(dirty_share).alias("dirty_ratio"),
             F.lit(overlap_share).alias("overlap_ratio"),
             F.sum("new_customers").alias("unique_customers"),
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", report.alias("report"))))).alias(
-                "sources"
-            ),
+            F.map_from_entries(F.collect_list(F.struct("source", report.alias("report")))).alias("sources"),
         )
     )

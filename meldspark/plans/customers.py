@@ -146,13 +146,21 @@ def rejection_rules() -> list[tuple[str, Column]]:
 
 def check_rows(parsed: DataFrame, spellings: DataFrame) -> DataFrame:
     """Cleans every field, finds the country code, and adds ``reject_reason`` (NULL for a valid row)."""
+    named = parsed.withColumns(
+        {
+            "customer_id": parse.parse_whole_number("customer_id_text"),
+            "first_name": proper_case("first_name"),
+            "last_name": proper_case("last_name"),
+        }
+    )
+    # The other fields are cleaned after the lookup: one projection for all of it would compile to a method that
+    # is too long for the JIT.
+    coded = lookup_left(named, spelling_key("country_text"), spellings, "spelling", "code", "country_code")
     clean = {name: blank_to_null(name) for name in ("phone", "street", "city", "postal_code")}
-    clean |= {name: proper_case(name) for name in ("first_name", "last_name")}
     clean["email"] = lower_text(blank_to_null("email"))
-    clean["customer_id"] = parse.parse_whole_number("customer_id_text")
-    cleaned = parsed.withColumns(clean)
-    coded = lookup_left(cleaned, spelling_key("country_text"), spellings, "spelling", "code", "country_code")
-    return coded.drop("country_text").withColumn("reject_reason", first_failing_rule(rejection_rules()))
+    return (
+        coded.drop("country_text").withColumns(clean).withColumn("reject_reason", first_failing_rule(rejection_rules()))
+    )
 
 
 def rejected_rows(checked: DataFrame) -> DataFrame:

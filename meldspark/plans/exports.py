@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from meldspark.functions.text import json_quoted, money_text
 from meldspark.operators.generate import (
@@ -128,15 +129,12 @@ def generate_sources(
     pool, everything = None, None
     for source, write in writers.items():
         customers = synthetic_customers(keys[source], keys[source].columns[0], countries, seed)
-        overlapped = with_overlap(customers, _numbered(pool), overlap_share, seed)
-        records = stage(with_defects(overlapped, dirty_share, seed).withColumn("source", F.lit(source)), source)
+        overlapped = stage(with_overlap(customers, _numbered(pool), overlap_share, seed), f"{source}-clean")
+        records = with_defects(overlapped, dirty_share, seed).withColumn("source", F.lit(source))
+        records = stage(records, f"{source}-records")
         write(records)
         everything = records if everything is None else everything.unionByName(records)
-        new = customers.join(
-            records.filter((F.col("copy") == 0) & ~F.col("repeated")).select(F.col("record_id").alias("customer_id")),
-            "customer_id",
-            "left_semi",
-        )
+        new = overlapped.filter(~F.col("repeated")).drop("record_id", "repeated")
         sample = stage(overlap_pool(new, pool_size, seed), f"{source}-pool")
         pool = sample if pool is None else pool.unionByName(sample)
     summary = manifest(everything, seed, dirty_share, overlap_share)
@@ -148,7 +146,5 @@ def _numbered(pool: DataFrame | None) -> DataFrame | None:
     """Renumbers the joint pool of all earlier sources (bounded by their number times the pool size)."""
     if pool is None:
         return None
-    from pyspark.sql import Window as W
-
     order = W.orderBy("customer_id")
     return pool.withColumn("_pool_no", (F.row_number().over(order) - 1).cast("long"))

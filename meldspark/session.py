@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Methods above 8000 bytes of bytecode are never compiled by the JIT; wide projections then run split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # The merge keeps one object buffer per key; the stock value of 128 keys makes every task sort.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
@@ -64,6 +66,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Shuffles a table with fewer input splits than cores before heavy per-row work; larger inputs pass unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after counting: beyond ``max_rows`` the join is left to a shuffle (AQE splits skew)."""
     if df.limit(max_rows + 1).count() <= max_rows:

@@ -23,9 +23,15 @@ def write_delimited(
 ) -> None:
     """Delimited text of the chosen columns; quotes are doubled. The default is the headerless bulk-load form."""
     chosen = df.select(*columns) if columns else df
-    chosen.write.options(sep=sep, header=header, quote='"', escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(
-        path
-    )
+    chosen.write.options(
+        sep=sep,
+        header=header,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
+    ).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -26,7 +26,7 @@ from meldspark.plans.analytics import (
 )
 from meldspark.plans.person_tax import person_tax_report
 from meldspark.sources.tables import as_view
-from registry import query, table
+from registry import query, spread_table, table
 
 FLOORS = ((40_000, "rich"), (10_000, "middle"))
 
@@ -233,13 +233,13 @@ WORDS = r"unnest(string_split_regex(text, '[\s\x0b\x1c-\x1f\x85\p{Z}]+')) AS wor
 @query(f"SELECT word, count(*) AS count FROM (SELECT {WORDS} FROM documents) WHERE word <> '' GROUP BY word")
 def word_count(spark, sf_dir):
     """A13 F20 X3 over whole documents."""
-    return word_counts(table(spark, sf_dir, "documents"), "text")
+    return word_counts(spread_table(spark, sf_dir, "documents", "text"), "text")
 
 
 @query(f"SELECT word, count(*) AS count FROM (SELECT {WORDS} FROM conversations) WHERE word <> '' GROUP BY word")
 def word_count_conversations(spark, sf_dir):
     """A13 F20 over conversation turns."""
-    return word_counts(table(spark, sf_dir, "conversations"), "text")
+    return word_counts(spread_table(spark, sf_dir, "conversations", "text"), "text")
 
 
 @query("""

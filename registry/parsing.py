@@ -9,7 +9,7 @@ from meldspark.operators.lookup import lookup_left
 from meldspark.operators.rules import full_match
 from meldspark.plans.customers import EMAIL_PATTERN
 from meldspark.sources.countries import COUNTRIES, country_dictionary, country_spellings
-from registry import query, table
+from registry import query, spread_table, table
 from registry.raw_sources import RAW_CTES, crm_rows, legacy_rows, webshop_rows
 
 N = "CAST({} AS STRING)".format
@@ -45,7 +45,7 @@ FROM {{orders}}
 """)
 def parse_dates(spark, sf_dir):
     """F10 F11 F12"""
-    texts = spark.sql(DATE_TEXTS, orders=table(spark, sf_dir, "orders"))
+    texts = spark.sql(DATE_TEXTS, orders=spread_table(spark, sf_dir, "orders", "o_orderkey"))
     return texts.select(
         "o_orderkey",
         parse.parse_date("dotted", parse.DAY_DOTTED).alias("dotted"),
@@ -87,7 +87,7 @@ FROM {{lineitem}}
 """)
 def parse_numbers(spark, sf_dir):
     """F7 F13 F14"""
-    texts = spark.sql(NUMBER_TEXTS, lineitem=table(spark, sf_dir, "lineitem"))
+    texts = spark.sql(NUMBER_TEXTS, lineitem=spread_table(spark, sf_dir, "lineitem"))
     return texts.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         parse.parse_decimal("money").alias("point"),
@@ -114,7 +114,7 @@ FROM {events}
 """)
 def parse_flags(spark, sf_dir):
     """F15 F16"""
-    texts = spark.sql(FLAG_TEXTS, events=table(spark, sf_dir, "events"))
+    texts = spark.sql(FLAG_TEXTS, events=spread_table(spark, sf_dir, "events", "event_id", "event_type"))
     return texts.select(
         "event_id",
         parse.parse_boolean("flag").alias("truth"),
@@ -225,19 +225,19 @@ def spelling_lookup(spark, sf_dir):
 """)
 def fold_words(spark, sf_dir):
     """F23 over every distinct word."""
-    found = table(spark, sf_dir, "documents").select(F.explode(text.words("text")).alias("word")).distinct()
+    found = spread_table(spark, sf_dir, "documents", "text").select(F.explode(text.words("text")).alias("word")).distinct()
     return found.select("word", text.ascii_fold("word").alias("folded"))
 
 
 @query(r"""
     SELECT conv_id, turn, array_to_string(list_transform(range(1, len(letters) + 1), lambda i:
-             if(i > 1 AND regexp_full_match(letters[i - 1], '\p{L}'), lower(letters[i]), upper(letters[i]))), '')
-             AS title
+             if(i > 1 AND regexp_full_match(letters[i - 1], '\p{L}'), lower(letters[i]),
+                if(letters[i] = 'ß', 'Ss', upper(letters[i])))), '') AS title
     FROM (SELECT conv_id, turn, string_split(text, '') AS letters FROM conversations)
 """)
 def title_texts(spark, sf_dir):
     """F28 over whole texts."""
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.title_case("text").alias("title"))
+    return spread_table(spark, sf_dir, "conversations").select("conv_id", "turn", text.title_case("text").alias("title"))
 
 
 @query("""

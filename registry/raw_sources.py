@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from registry import table
+from registry import spread_table
 
 
 def _pad(number: str) -> str:
@@ -104,12 +104,12 @@ legacy AS ({LEGACY_SQL.format(events='events')})
 
 
 def crm_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CRM_SQL, customer=table(spark, sf_dir, "customer"))
+    return spark.sql(CRM_SQL, customer=spread_table(spark, sf_dir, "customer"))
 
 
 def webshop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In the nested shape of the source."""
-    flat = spark.sql(WEBSHOP_SQL, orders=table(spark, sf_dir, "orders"))
+    flat = spark.sql(WEBSHOP_SQL, orders=spread_table(spark, sf_dir, "orders"))
     return flat.selectExpr(
         "source_row", "id", "first_name_text AS firstName", "last_name_text AS lastName", "email", "phone",
         "birth_text AS birthDate",
@@ -120,7 +120,7 @@ def webshop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legacy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In the nested shape of the source."""
-    flat = spark.sql(LEGACY_SQL, events=table(spark, sf_dir, "events"))
+    flat = spark.sql(LEGACY_SQL, events=spread_table(spark, sf_dir, "events"))
     return flat.selectExpr(
         "source_row", "member_id", "name", "struct(email, phone) AS contact", "born",
         "struct(street, city, postcode, country) AS location", "joined", "status", "value",
