@@ -106,8 +106,8 @@ def json_quoted(text: Column | str) -> Column:
 def _ascii_letters() -> tuple[str, str, str]:
     """Compatibility decompositions that leave ASCII letters or digits: one-to-one, and one-to-many as JSON."""
     single, several = {"ł": "l", "Ł": "L"}, {}
-    for code in range(0x80, 0x110000):
-        if 0xD800 <= code <= 0xDFFF:
+    for code in range(0x80, 0x20000):  # no later character decomposes to ASCII
+        if not unicodedata.decomposition(chr(code)):
             continue
         kept = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if c.isascii() and c.isalnum())
         if len(kept) == 1:
