@@ -90,7 +90,7 @@ def synthetic_customers(
         "country_no", draw_below(seed, "country", k, n_countries).cast("int")
     )
     drawn = (
-        base.join(broadcast_if_small(countries), "country_no")
+        base.join(broadcast_if_small(countries, n_countries), "country_no")
         .withColumns(
             {
                 "first_name": pick(seed, "first_name", k, F.col("first_names")),
@@ -159,7 +159,7 @@ def with_overlap(customers: DataFrame, pool: DataFrame | None, share: float, see
         draw_below(seed, "overlap_pick", F.col("record_id"), size),
     )
     earlier = pool.select("_pool_no", F.struct(*fields).alias("_earlier"))
-    joined = slots.withColumn("_pool_no", chosen).join(broadcast_if_small(earlier), "_pool_no", "left")
+    joined = slots.withColumn("_pool_no", chosen).join(broadcast_if_small(earlier, size), "_pool_no", "left")
     repeated = F.col("_pool_no").isNotNull()
     return joined.select(
         *[F.when(repeated, F.col(f"_earlier.{c}")).otherwise(F.col(c)).alias(c) for c in fields],

@@ -21,7 +21,7 @@ from meldspark.operators.metrics import run_summary
 from meldspark.operators.rules import first_failing_rule, full_match, split_by_tag
 from meldspark.session import stage
 from meldspark.sinks.publish import publish
-from meldspark.sources.countries import country_dictionary, country_spellings, country_table
+from meldspark.sources.countries import COUNTRIES, country_dictionary, country_spellings, country_table
 from meldspark.sources.files import read_delimited, read_json_lines
 from meldspark.sources.yaml_stream import read_yaml_stream
 
@@ -144,8 +144,13 @@ def rejection_rules() -> list[tuple[str, Column]]:
     ]
 
 
-def check_rows(parsed: DataFrame, spellings: DataFrame) -> DataFrame:
-    """Cleans every field, finds the country code, and adds ``reject_reason`` (NULL for a valid row)."""
+def check_rows(parsed: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """Cleans every field, finds the country code, and adds ``reject_reason`` (NULL for a valid row).
+
+    Without a ``dictionary`` of its own the job uses the built-in one, whose few spellings need no counting.
+    """
+    known = None if dictionary is not None else sum(3 + len(entry.variants) for entry in COUNTRIES)
+    spellings = country_spellings(dictionary if dictionary is not None else country_dictionary(parsed.sparkSession))
     named = parsed.withColumns(
         {
             "customer_id": parse.parse_whole_number("customer_id_text"),
@@ -155,7 +160,7 @@ def check_rows(parsed: DataFrame, spellings: DataFrame) -> DataFrame:
     )
     # The other fields are cleaned after the lookup: one projection for all of it would compile to a method that
     # is too long for the JIT.
-    coded = lookup_left(named, spelling_key("country_text"), spellings, "spelling", "code", "country_code")
+    coded = lookup_left(named, spelling_key("country_text"), spellings, "spelling", "code", "country_code", known)
     clean = {name: blank_to_null(name) for name in ("phone", "street", "city", "postal_code")}
     clean["email"] = lower_text(blank_to_null("email"))
     return (
@@ -208,14 +213,10 @@ def consolidate(
 ) -> Consolidated:
     """All outputs from three raw sources with ``source_row``. The checked rows are staged once, because the merge,
     the rejects and the summary all read them, each only its own columns."""
-    if dictionary is None:
-        dictionary = country_dictionary(crm.sparkSession)
-    parsed = unite_sources(crm, webshop, legacy)
-    checked = stage(check_rows(parsed, country_spellings(dictionary)), "checked")
+    checked = stage(check_rows(unite_sources(crm, webshop, legacy), dictionary), "checked")
     customer = stage(merged_customers(checked), "customer")
-    return Consolidated(
-        country_table(dictionary), customer, rejected_rows(checked), run_summary(checked, customer), checked
-    )
+    countries = country_table(dictionary if dictionary is not None else country_dictionary(crm.sparkSession))
+    return Consolidated(countries, customer, rejected_rows(checked), run_summary(checked, customer), checked)
 
 
 def consolidate_files(spark: SparkSession, folder: str, dictionary: DataFrame | None = None) -> Consolidated:

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites recorded for every column expression triple the time it takes to build a wide plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Methods above 8000 bytes of bytecode are never compiled by the JIT; wide projections then run split up.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # The merge keeps one object buffer per key; the stock value of 128 keys makes every task sort.
@@ -72,8 +74,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting: beyond ``max_rows`` the join is left to a shuffle (AQE splits skew)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def broadcast_if_small(df: DataFrame, rows: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only for a counted size: beyond ``max_rows`` the join is left to a shuffle (AQE splits skew).
+
+    ``rows`` is the size if the caller has counted already or made the table from driver-side rows.
+    """
+    if rows is None:
+        rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df

@@ -18,15 +18,57 @@ ENTRY_MARK = "\n- "
 
 
 def _entry_parser():
-    """The ``mapInPandas`` worker, built as a closure so that workers need no module of ours."""
+    """The ``mapInPandas`` worker, built as a closure so that workers need no module of ours.
+
+    Entries in the plainest form (keys with quoted, whole-number or empty values, maps nested once) are rewritten
+    line by line, which is many times faster than the YAML loader; all others go through the loader.
+    """
 
     def parse(batches):
+        import itertools
         import json
+        import re
 
         import pandas as pd
         import yaml
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        # A quoted text without escapes, control characters or line separators reads the same as YAML and JSON.
+        scalar = r'"[^"\\\x00-\x1f\x7f-\x9f\u2028\u2029\ufeff\ud800-\udfff]*"|0|[1-9][0-9]*|true|false|null'
+        field = re.compile(rf"( *)([A-Za-z_][A-Za-z0-9_]*):(?: ({scalar}))?").fullmatch
+        special_keys = {"yes", "no", "on", "off", "true", "false", "null"}
+
+        def plain_entry(chunk):
+            """JSON text of an entry in the plain form, None for any other."""
+            fields, nested = {}, None
+            for number, line in enumerate(chunk.removesuffix("\n").removesuffix("\n---").split("\n")):
+                match = field(line)
+                if match is None:
+                    return None
+                indent, key, value = len(match[1]), match[2], match[3]
+                if indent == 4 and nested is not None and value is not None:
+                    target = nested
+                elif indent == (2 if number else 0):
+                    target = fields
+                    nested = {} if value is None else None
+                    value = nested if value is None else value
+                else:
+                    return None
+                if key in target or key.lower() in special_keys:
+                    return None
+                target[key] = value
+
+            def text(value):
+                if isinstance(value, str):
+                    return value
+                return "{" + ",".join(f'"{k}":{text(v)}' for k, v in value.items()) + "}" if value else "null"
+
+            return text(fields)
+
+        def loaded_entries(chunks):
+            for document in yaml.load_all("\n".join(chunks), Loader=loader):
+                for entry in document or ():
+                    yield json.dumps(entry, ensure_ascii=False, default=str)
 
         opened = None  # the file whose very first text has been seen; nothing was cut off in front of it
         for batch in batches:
@@ -34,15 +76,15 @@ def _entry_parser():
             runs = (file.ne(file.shift()) | split.ne(split.shift())).cumsum()
             for _, run in batch.groupby(runs, sort=False):
                 path, start = run["_file"].iloc[0], run["_split"].iloc[0]
-                chunks = list(run["value"])
-                marked = ["- " + chunk for chunk in chunks]
+                chunks = [("- " + chunk, plain_entry(chunk)) for chunk in run["value"]]
                 if start == 0 and opened != path:
-                    opened, marked[0] = path, chunks[0]
-                entries = [
-                    json.dumps(entry, ensure_ascii=False, default=str)
-                    for document in yaml.load_all("\n".join(marked), Loader=loader)
-                    for entry in document or ()
-                ]
+                    opened, chunks[0] = path, (run["value"].iloc[0], None)
+                entries = []
+                for is_plain, group in itertools.groupby(chunks, lambda chunk: chunk[1] is not None):
+                    if is_plain:
+                        entries.extend(entry for _, entry in group)
+                    else:
+                        entries.extend(loaded_entries([chunk for chunk, _ in group]))
                 if entries:
                     yield pd.DataFrame({"entry": entries, "_file": path, "_split": start})
 

@@ -16,7 +16,6 @@ from meldspark.plans.customers import (
 )
 from meldspark.session import new_shared_path
 from meldspark.sinks.publish import current
-from meldspark.sources.countries import country_dictionary, country_spellings
 from meldspark.sources.numbering import number_in_order
 from registry import query, table
 from registry.parsing import SPELLING_CTES
@@ -91,8 +90,7 @@ def raw_sources(spark, sf_dir):
 
 
 def checked_rows_of(spark, sf_dir):
-    spellings = country_spellings(country_dictionary(spark))
-    return check_rows(unite_sources(*raw_sources(spark, sf_dir)), spellings)
+    return check_rows(unite_sources(*raw_sources(spark, sf_dir)))
 
 
 @query(f"WITH {RAW_CTES}, {PARSED_CTE} SELECT * FROM parsed")

@@ -134,10 +134,16 @@ def write_raw_sources(spark, sf_dir, folder):
     crm, webshop, legacy = (f(spark, sf_dir) for f in (crm_rows, webshop_rows, legacy_rows))
     write_delimited(sorted_output(crm, "source_row"), f"{folder}/{CRM_FILE}", CRM_COLUMNS, sep=";", header=True)
     write_json_lines(sorted_output(webshop, "source_row").drop("source_row"), f"{folder}/{WEBSHOP_FILE}")
-    members = legacy.select("source_row", F.to_json(F.struct(*[c for c in legacy.columns if c != "source_row"])).alias("j"))
+    lines = [
+        ("- member_id: ", "member_id"), ("  name: ", "name"), ("  contact:", None), ("    email: ", "contact.email"),
+        ("    phone: ", "contact.phone"), ("  born: ", "born"), ("  location:", None),
+        ("    street: ", "location.street"), ("    city: ", "location.city"), ("    postcode: ", "location.postcode"),
+        ("    country: ", "location.country"), ("  joined: ", "joined"), ("  status: ", "status"), ("  value: ", "value"),
+    ]
+    texts = [F.concat(F.lit(head), json_quoted(field)) if field else F.lit(head) for head, field in lines]
+    members = legacy.select("source_row", F.concat_ws("\n", *texts).alias("entry"))
     write_yaml_stream(
-        members.select("source_row", F.concat(F.lit("- "), "j").alias("entry")),
-        f"{folder}/{LEGACY_FILE}", "entry", ["source_row"], per_document=700, title="Members",
+        members, f"{folder}/{LEGACY_FILE}", "entry", ["source_row"], per_document=700, title="Members"
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meldspark.plans import customers as plan
 from meldspark.sinks.publish import RejectedPublish, current, publish
-from meldspark.sources.countries import COUNTRIES, country_dictionary, country_spellings
+from meldspark.sources.countries import COUNTRIES, CountryEntry, country_dictionary, country_spellings
 
 CRM = dict(
     customer_id="1", first_name="jan", last_name="NOWAK", email="Jan@Example.com", phone="", birth_date="1.2.1990",
@@ -41,7 +41,7 @@ def raw(spark, crm=(), webshop=(), legacy=()):
 
 
 def checked(spark, **sources):
-    return plan.check_rows(plan.unite_sources(*raw(spark, **sources)), country_spellings(country_dictionary(spark)))
+    return plan.check_rows(plan.unite_sources(*raw(spark, **sources)))
 
 
 def reasons(spark, **sources):
@@ -111,6 +111,17 @@ def test_every_spelling_is_known(spark):
     assert [r.country_code for r in rows] == expected
 
 
+def test_own_dictionary_and_contested_spellings(spark):
+    entries = [CountryEntry("AA", "Alpha", "Alpha", ("Both",), "1", "#"), CountryEntry("BB", "Beta", "Beta", (" both",), "2", "#")]
+    dictionary = country_dictionary(spark, entries)
+    assert {tuple(r) for r in country_spellings(dictionary).collect()} == {
+        ("aa", "AA"), ("alpha", "AA"), ("bb", "BB"), ("beta", "BB"), ("both", "BB")
+    }
+    parsed = plan.unite_sources(*raw(spark, crm=[dict(country="BOTH "), dict(country="Poland")]))
+    rows = plan.check_rows(parsed, dictionary).orderBy("source_row").collect()
+    assert [(r.country_code, r.reject_reason) for r in rows] == [("BB", None), (None, "unknown country")]
+
+
 @pytest.mark.parametrize("partitions", [1, 7, 64])
 def test_merge_order(spark, partitions):
     sources = raw(

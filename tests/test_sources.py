@@ -105,6 +105,36 @@ def test_yaml_entries_across_splits_and_files(spark, tmp_path, small_splits):
     assert [r.source_row for r in df.orderBy("source_row").collect()] == list(range(1, 241))
 
 
+ENTRIES = [
+    '- a: "x"', '- a: 1\n  b: "ü ; # {"', "- a:\n  b: 2", '- a:\n    c: "q"\n    d: 7\n  b: null', "- a: 010\n  b: 1_0",
+    '- a: "e\\n\\u00e9"', "- a: plain text\n  b: 'single'", "- a: yes\n  yes: 1", "- a: 1\n  a: 2", "- a: [1, 2]\n  b: {c: 3}",
+    '- a: "two\n    lines"', "- a: |\n    block\n    text\n  b: 1", "- a: 1 # note", "- a: 1.50\n  b: 1e3", "- a: 2020-01-02",
+    "- a: true\n  b: false\n  c: null", '- {"a": 1, "b": "c"}', "- a:\n      deep:\n        deeper: 1", '- a: "x" ', "- a : 1",
+    '- a: "\u2028"', "- a: ~", "- a: 0\n\n  b: 1", "- a: -5", '- a: ""', "- a: 1\n# note", "- a: 1\n...",
+]
+
+
+@pytest.mark.parametrize("per_document", [1, 3, 100])
+def test_yaml_worker_agrees_with_the_loader(per_document):
+    """Each kind of entry, plain or not, between plain ones; in batches of different sizes."""
+    import json
+
+    import pandas as pd
+    import yaml
+
+    from meldspark.sources.yaml_stream import _entry_parser
+
+    entries = [e for entry in ENTRIES for e in ('- a: "p"\n  b:\n    c: 3', entry)]
+    stream = "# head\n"
+    for i, entry in enumerate(entries):
+        stream += ("---\n" if i % per_document == 0 or entries[i - 1].endswith("...") else "") + entry + "\n"
+    expected = [json.loads(json.dumps(e, default=str)) for d in yaml.safe_load_all(stream) for e in d or ()]
+    chunks = pd.DataFrame({"value": stream.split("\n- "), "_file": "f", "_split": 0})
+    batches = [chunks[:1], chunks[1:8], chunks[8:]]
+    found = [json.loads(e) for out in _entry_parser()(batches) for e in out["entry"]]
+    assert found == expected
+
+
 def test_yaml_documents_have_the_given_length(spark):
     path = new_shared_path(spark, "yaml-length")
     entries = spark.range(25).select("id", F.concat(F.lit("- member_id: "), F.col("id").cast("string")).alias("entry"))
@@ -132,7 +162,7 @@ def test_broadcast_only_after_counting(spark):
     plan = lambda df: df._jdf.queryExecution().toString()
     big, small = spark.range(1000).withColumnRenamed("id", "k"), spark.range(10)
     assert "broadcast" in plan(big.join(broadcast_if_small(small), big.k == small.id)).lower()
-    assert "UnresolvedHint" not in plan(broadcast_if_small(big, 10)) and "ResolvedHint" not in plan(broadcast_if_small(big, 10))
+    assert "UnresolvedHint" not in plan(broadcast_if_small(big, max_rows=10)) and "ResolvedHint" not in plan(broadcast_if_small(big, max_rows=10))
 
 
 def test_stage_cuts_lineage(spark):
