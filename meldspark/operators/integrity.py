@@ -22,10 +22,17 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, reference: str, parent: DataFrame, key: str) -> DataFrame:
-    """Child references without a parent. References are counted before the join, so a frequent one is one row."""
+    """Child references without a parent. References are counted before the join, so a frequent one is one row.
+
+    An outer join with a NULL filter, because the optimizer moves an anti-join below the aggregate.
+    """
     used = child.filter(F.col(reference).isNotNull()).groupBy(reference).agg(F.count(F.lit(1)).alias("rows"))
     parents = parent.select(F.col(key).alias("_parent"))
-    return used.join(parents, F.col(reference) == F.col("_parent"), "left_anti")
+    return (
+        used.join(parents, F.col(reference) == F.col("_parent"), "left")
+        .filter(F.col("_parent").isNull())
+        .select(reference, "rows")
+    )
 
 
 def out_of_range(df: DataFrame, column: str, precision: int, scale: int) -> DataFrame:

@@ -80,5 +80,5 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None, max_rows: int = M
     ``rows`` is the size if the caller has counted already or made the table from driver-side rows.
     """
     if rows is None:
-        rows = df.limit(max_rows + 1).count()
+        rows = df.count()  # partial counts per task; a limit would send up to max_rows rows per task to one place
     return F.broadcast(df) if rows <= max_rows else df

@@ -59,9 +59,13 @@ def number_source_rows(positioned: DataFrame, name: str = "source_row") -> DataF
 
 
 def number_in_order(df: DataFrame, order: Sequence[str | Column], name: str = "id") -> DataFrame:
-    """Surrogate key 1..n in the given order: a range shuffle and running totals, no single-task sort."""
+    """Surrogate key 1..n in the given order: a range shuffle and running totals, no single-task sort.
+
+    Rows that tie are ordered by a hash of the whole row, so a frequent value of the order columns still spreads over
+    several ranges and the numbers do not depend on the partitioning.
+    """
     ordered = (
-        df.orderBy(*order)
+        df.orderBy(*order, F.xxhash64(*df.columns))
         .withColumn(FILE, F.lit(""))
         .withColumn(SPLIT, F.spark_partition_id().cast("long"))
         .withColumn(PLACE, F.monotonically_increasing_id())
