@@ -1,8 +1,8 @@
 """Lenient parsing of text: what cannot be read becomes NULL, never an error.
 
 A regular expression decides first whether a text has the right shape, then Spark's own string casts read it. A
-cast that fails costs an exception inside Spark, about twenty times as much as one that succeeds, so texts that
-are certain to fail never reach the cast.
+cast that fails costs an exception inside Spark, many times the price of one that succeeds, so texts of the wrong
+shape never reach the cast.
 """
 
 from __future__ import annotations
