@@ -36,7 +36,7 @@ CLASSES = {
 }
 LETTERS = "abcdefghijklmnop"
 MIN_CHARS_JUDGED, MIN_WORDS_JUDGED, MIN_REFERENCE_WORDS = 200, 60, 5_000
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, WORD_SCATTER = 0.30, 0.55, 1.5
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, WORD_SCATTER = 0.30, 0.24, 1.6
 
 CLASS_COLUMNS = [*(f"c_{name}" for name in CLASSES), "c_rest"]
 WORD_COLUMNS = [*(f"w_{k}" for k in range(COMMON_WORDS)), "w_rest"]
@@ -167,7 +167,8 @@ def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "te
         F.coalesce("word_distance", F.lit(0.0)) <= scatter
     )
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return rows.select(*keep, *base, (~F.col("base_failed") & fits).alias("kept"), "class_distance", "word_distance")
+    distances = [F.round(name, 6).alias(name) for name in ("class_distance", "word_distance")]
+    return rows.select(*keep, *base, (~F.col("base_failed") & fits).alias("kept"), *distances)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:

@@ -23,3 +23,60 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN counted USING (u) LEFT JOIN named USING (u)
 """
+
+
+def quality_sql() -> str:
+    """The quality rules with the parameters of their module."""
+    from meldspark.llm import op04_quality as op
+
+    counted = {
+        "c_upper": "[A-Z]",
+        "c_digit": "[0-9]",
+        "c_mark": "[.,;:!?''\"()-]",
+        "c_symbol": "[#$%&*+/<=>@\\[\\\\\\]^_`{|}~]",
+        "c_beyond": "[^\\x00-\\x7F]",
+    }
+    classes = ", ".join(f"length(t) - length(regexp_replace(t, '{p}', '', 'g')) AS {n}" for n, p in counted.items())
+    common = ", ".join(f"count(*) FILTER (place = {k + 1}) AS w_{k}" for k in range(op.COMMON_WORDS))
+    counts = ", ".join(f"coalesce(w_{k}, 0) AS w_{k}" for k in range(op.COMMON_WORDS))
+    taken = " + ".join(f"coalesce(w_{k}, 0)" for k in range(op.COMMON_WORDS))
+    sums = ", ".join(f"sum({n}) AS r_{n}" for n in op.CLASS_COLUMNS + op.WORD_COLUMNS)
+
+    def distance(names: list[str], own: str) -> str:
+        total = "(" + " + ".join(f"r_{n}" for n in names) + ")"
+        parts = []
+        for n in names:
+            p, q = f"({n} / {own}::DOUBLE)", f"(r_{n} / {total}::DOUBLE)"
+            parts += [f"CASE WHEN {a} > 0 THEN {a} * log2({a} / (({p} + {q}) / 2)) ELSE 0 END" for a in (p, q)]
+        return "sqrt(greatest((" + " + ".join(parts) + ") / 2, 0))"
+
+    known = "(" + " + ".join(f"r_{n}" for n in op.WORD_COLUMNS) + f") >= {op.MIN_REFERENCE_WORDS}"
+    n = op.WINDOW_WORDS
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS u, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
+split AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM docs),
+lined AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM split),
+starts AS (SELECT u, w, unnest(range(1, len(w) - {n - 2})) AS s FROM split),
+windows AS (SELECT u, s, array_to_string(w[s:s + {n - 1}], ' ') AS k FROM starts),
+repeated AS (SELECT u, s FROM windows QUALIFY count(*) OVER (PARTITION BY u, k) > 1),
+covered AS (SELECT u, count(DISTINCT p) AS n_repeat_words FROM (SELECT u, unnest(range(s, s + {n})) AS p FROM repeated) GROUP BY u),
+short AS (SELECT u, lang, lower(x) AS x FROM (SELECT u, lang, unnest(w) AS x FROM split) WHERE length(x) <= {op.COMMON_CHARS}),
+ranked AS (SELECT lang, x, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, x) AS place FROM short GROUP BY lang, x),
+found AS (SELECT u, {common} FROM short JOIN ranked USING (lang, x) WHERE place <= {op.COMMON_WORDS} GROUP BY u),
+sized AS (SELECT u, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, {classes} FROM lined),
+counted AS (SELECT * EXCLUDE (w_0), word_chars - c_upper - c_digit - c_mark - c_symbol - c_beyond AS c_rest FROM
+  (SELECT sized.*, coalesce(n_repeat_words, 0) AS n_repeat_words, 0 AS w_0 FROM sized LEFT JOIN covered USING (u))),
+histograms AS (SELECT c.*, {counts}, n_words - ({taken}) AS w_rest FROM counted c LEFT JOIN found USING (u)),
+languages AS (SELECT lang, {sums} FROM histograms GROUP BY lang),
+measured AS (SELECT *, n_words < {op.MIN_WORDS} OR 100 * n_repeat_words > {op.MAX_REPEATED} * n_words AS base_failed,
+  CASE WHEN {known} AND word_chars >= {op.MIN_CHARS_JUDGED} THEN {distance(op.CLASS_COLUMNS, 'word_chars')} END AS by_class,
+  CASE WHEN {known} AND n_words >= {op.MIN_WORDS_JUDGED} THEN {distance(op.WORD_COLUMNS, 'n_words')} END AS by_word
+  FROM histograms JOIN languages USING (lang))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(by_class, 0) <= {op.MAX_CLASS_DISTANCE}
+    AND coalesce(by_word, 0) <= {op.MAX_WORD_DISTANCE} + {op.WORD_SCATTER} / sqrt(greatest(n_words, 1)) AS kept,
+  round(by_class, 6) AS class_distance, round(by_word, 6) AS word_distance
+FROM measured
+"""

@@ -46,4 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": lambda spark, sf_dir: token_counts(documents(spark, sf_dir)),
 }
 
-ORACLES: dict[str, str] = {"op8_decontamination": oracles.DECONTAMINATION}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": oracles.quality_sql(),
+    "op8_decontamination": oracles.DECONTAMINATION,
+}

@@ -100,4 +100,4 @@ def test_clean_documents_stay(spark):
     good = verdicts.filter("quality = 1 AND NOT base_failed")
     assert good.filter("NOT kept").count() <= 0.01 * good.count()
     bad = verdicts.filter("quality = 0")
-    assert bad.filter("kept").count() <= 0.3 * bad.count()
+    assert bad.filter("kept").count() <= 0.2 * bad.count()
