@@ -24,7 +24,7 @@ from meldspark.llm.op10_token_counts import token_counts
 from meldspark.llm.tokenizer_files import load_tokenizer
 
 SF_DIR = "/root/testdata/sf0.001"
-LONG = "Words of a very long text, again and again 192.168.0.1 or a.b@c.example. " * 3000
+LONG = "Words of a very long text, again and again 192.168.0.1 or a.b@c.example. " * 600
 EXTRA = "row string, uid long, fp long, component_id long, kept string, n_words int, shard int, key string, ids string, label double"
 ODD = [
     (1, None, "en", "a", 0),
