@@ -87,10 +87,12 @@ def decimal_comma(text: Column | str) -> Column:
 
 
 def money_text(cents: Column | str, separator: str) -> Column:
-    """Whole cents as text with two decimals: -5 gives "-0.05" or "-0,05"."""
-    amount = (_col(cents).cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)")
-    text = amount.cast("string")
-    return text if separator == "." else F.replace(text, F.lit("."), F.lit(separator))
+    """Whole cents as text with two decimals: -5 gives "-0.05" or "-0,05". Any whole number up to 38 digits."""
+    amount = _col(cents).cast("decimal(38,0)")
+    digits = F.abs(amount).cast("string")
+    digits = F.lpad(digits, F.greatest(F.length(digits), F.lit(3)), F.lit("0"))
+    whole = F.substring(digits, F.lit(1), F.length(digits) - 2)
+    return F.concat(F.when(amount < 0, "-").otherwise(""), whole, F.lit(separator), F.right(digits, F.lit(2)))
 
 
 def json_quoted(text: Column | str) -> Column:
@@ -136,13 +138,18 @@ def ascii_fold(text: Column | str) -> Column:
 
 
 def register_sql_functions(spark) -> None:
-    """``blank_to_null`` and ``proper_case`` for use in SQL text of this session."""
-    spaces = SPACE_SEPARATORS
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION blank_to_null(raw STRING) RETURNS STRING "
-        f"RETURN nullif(trim(BOTH '{spaces}' FROM raw), '')"
-    )
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION proper_case(raw STRING) RETURNS STRING "
-        "RETURN upper(left(blank_to_null(raw), 1)) || lower(substr(blank_to_null(raw), 2))"
+    """``blank_to_null`` and ``proper_case`` for use in SQL text of this session, by the rules of their column twins."""
+    single = _stubborn_letters()
+    letter = "left(blank_to_null(raw), 1)"
+    listed = ", ".join(f"'{c}'" for c in single)
+    upper = (
+        f"CASE WHEN {letter} IN ({listed}) THEN translate({letter}, '{''.join(single)}', '{''.join(single.values())}') "
+        f"ELSE upper({letter}) END"
     )
+    lower = "lower(replace(replace(substr(blank_to_null(raw), 2), 'Σ', 'σ'), 'İ', 'i'))"
+    bodies = {
+        "blank_to_null": f"nullif(trim(BOTH '{SPACE_SEPARATORS}' FROM raw), '')",
+        "proper_case": f"{upper} || {lower}",
+    }
+    for name, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(raw STRING) RETURNS STRING RETURN {body}")

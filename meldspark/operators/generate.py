@@ -6,7 +6,7 @@ may come from ``spark.range(n)`` or from an existing table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -153,19 +153,19 @@ def with_overlap(customers: DataFrame, pool: DataFrame | None, share: float, see
     if pool is None:
         return slots.withColumn("repeated", F.lit(False))
     size = pool.count()
+    if not size:
+        return slots.withColumn("repeated", F.lit(False))
     fields = customers.columns
     chosen = F.when(
         happens(seed, "overlap", F.col("record_id"), share),
         draw_below(seed, "overlap_pick", F.col("record_id"), size),
     )
-    earlier = pool.select("_pool_no", F.struct(*fields).alias("_earlier"))
-    joined = slots.withColumn("_pool_no", chosen).join(broadcast_if_small(earlier, size), "_pool_no", "left")
-    repeated = F.col("_pool_no").isNotNull()
-    return joined.select(
-        *[F.when(repeated, F.col(f"_earlier.{c}")).otherwise(F.col(c)).alias(c) for c in fields],
-        "record_id",
-        repeated.alias("repeated"),
-    )
+    # Only repeated slots are joined: the others, which have no number, would all meet in one partition.
+    earlier = broadcast_if_small(pool.select("_pool_no", *fields), size)
+    numbered = slots.select("record_id", chosen.alias("_pool_no")).filter(F.col("_pool_no").isNotNull())
+    repeats = numbered.join(earlier, "_pool_no").select(*fields, "record_id", F.lit(True).alias("repeated"))
+    new = slots.filter(chosen.isNull()).select(*fields, "record_id", F.lit(False).alias("repeated"))
+    return new.unionByName(repeats)
 
 
 def with_defects(records: DataFrame, share: float, seed: int) -> DataFrame:
@@ -237,8 +237,10 @@ def source_counts(records: DataFrame) -> DataFrame:
     )
 
 
-def manifest(records: DataFrame, seed: int, dirty_share: float, overlap_share: float) -> DataFrame:
-    """One row describing generated data: settings, unique customers, and per source its counts and defects.
+def manifest(
+    records: DataFrame, seed: int, dirty_share: float, overlap_share: float, files: Mapping[str, str]
+) -> DataFrame:
+    """One row describing generated data: settings, unique customers, and per source its file, counts and defects.
 
     Only grouped counts meet in the last step: one row per source.
     """
@@ -247,7 +249,13 @@ def manifest(records: DataFrame, seed: int, dirty_share: float, overlap_share: f
         .groupBy("source")
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("defect", "records")))).alias("defects"))
     )
-    report = F.struct("records", "also_in_earlier_sources", "defects")
+    names = F.create_map(*[F.lit(x) for pair in files.items() for x in pair])
+    report = F.struct(
+        F.try_element_at(names, F.col("source")).alias("file"),
+        "records",
+        F.col("also_in_earlier_sources").alias("customers_also_in_earlier_sources"),
+        F.coalesce("defects", F.create_map().cast("map<string,bigint>")).alias("defects"),
+    )
     return (
         source_counts(records)
         .join(defects, "source", "left")

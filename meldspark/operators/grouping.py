@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,7 +63,8 @@ def text_by_group(
 
     Group sizes are measured first. If every text fits into ``max_text`` characters, one aggregate does it and
     ``part`` is always 1. Otherwise long groups come out in several numbered parts of about that length, so
-    that no task holds a whole oversized group; joining the parts gives the full text.
+    that no task holds a whole oversized group; joining the parts gives the full text. Both ways give the same groups:
+    NULL is a key like any other, and a group whose values are all NULL has one part with an empty text.
     """
     width = F.length(value) + len(sep)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("_chars"))
@@ -101,15 +103,25 @@ def _text_in_parts(
     before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     bases = runs.groupBy(*keys, "_range").agg(F.sum("_chars").alias("_range_chars"))
     bases = bases.select(*keys, "_range", F.coalesce(F.sum("_range_chars").over(before), F.lit(0)).alias("_base"))
+    runs = _join_null_safe(runs, bases, [*keys, "_range"], "inner")
     inside = W.partitionBy(*keys, "_range").orderBy(value, "_i").rowsBetween(W.unboundedPreceding, -1)
     start = F.col("_base") + F.coalesce(F.sum("_chars").over(inside), F.lit(0))
     piece = F.array_join(F.array_repeat(F.col(value), F.col("_n")), sep)
-    return (
-        runs.join(bases, [*keys, "_range"])
-        .withColumn("part", F.floor(start / max_text) + 1)
+    pieces = F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), "_i", piece.alias("t"))))
+    parts = (
+        runs.withColumn("part", F.floor(start / max_text) + 1)
         .groupBy(*keys, "part")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), "_i", piece.alias("t")))).alias("_pieces"))
-        .withColumn("text", F.array_join(F.col("_pieces.t"), sep))
-        .join(sizes.select(*keys, "rows"), list(keys))
-        .select(*keys, "part", "rows", "text")
+        .agg(pieces.alias("_pieces"))
+        .select(*keys, "part", F.array_join(F.col("_pieces.t"), sep).alias("text"))
+    )
+    part = F.coalesce("part", F.lit(1).cast("long")).alias("part")
+    return _join_null_safe(sizes.select(*keys, "rows"), parts, keys, "left").select(
+        *keys, part, "rows", F.coalesce("text", F.lit("")).alias("text")
     )
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys, where NULL equals NULL; the key columns of the left side stay."""
+    other = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_of_{k}" for k in keys])

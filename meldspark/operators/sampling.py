@@ -15,10 +15,10 @@ def fixed_sample(df: DataFrame, key: str, size: int, seed: int, purpose: str = "
 
     A plain top-k sends up to ``size`` rows per task to one place. Here rows above a draw that about
     ``size`` rows stay below are dropped first, and the number that is left is counted: the k smallest draws are
-    then certainly among them.
+    then certainly among them. Rows without a key have no draw and are never sampled, whatever the table's size.
     """
-    drawn = df.withColumn("_draw", draw(seed, purpose, F.col(key)))
-    total = df.count()
+    drawn = df.filter(F.col(key).isNotNull()).withColumn("_draw", draw(seed, purpose, F.col(key)))
+    total = drawn.count()
     share = (size + 6 * math.sqrt(size) + 10) / max(total, 1)
     while share < 1:
         near = drawn.filter(F.col("_draw") < int(share * 2**DRAW_BITS))

@@ -28,7 +28,10 @@ def with_exact_wealth(
 
 
 def wealth_listing(classed: DataFrame) -> DataFrame:
-    return classed.orderBy(F.desc("per_head"))
+    """Highest amount per head first; rows with the same rounded amount by a hash of the row, so that a frequent amount
+    spreads over several ranges, and then by their columns, so that the order is always the same."""
+    ties = [c for c in classed.columns if c != "per_head"]
+    return classed.orderBy(F.desc("per_head"), F.xxhash64(*ties), *ties)
 
 
 def wealth_stats(classed: DataFrame, heads: str) -> DataFrame:

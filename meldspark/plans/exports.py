@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -69,27 +71,39 @@ def webshop_lines(records: DataFrame) -> DataFrame:
     )
 
 
+# The lines of a member entry, each with the field it holds.
+MEMBER_LINES = (
+    ("- member_id: ", "member_id"), ("  name: ", "name"), ("  contact:", None), ("    email: ", "email"),
+    ("    phone: ", "phone"), ("  born: ", "born"), ("  location:", None), ("    street: ", "street"),
+    ("    city: ", "city"), ("    postcode: ", "postcode"), ("    country: ", "country"), ("  joined: ", "joined"),
+    ("  status: ", "status"), ("  value: ", "value"),
+)
+
+
+def member_entry(values: Mapping[str, Column]) -> Column:
+    """One YAML list entry from the written form of its fields."""
+    lines = [F.concat(F.lit(head), values[field]) if field else F.lit(head) for head, field in MEMBER_LINES]
+    return F.concat_ws("\n", *lines)
+
+
 def legacy_entries(records: DataFrame) -> DataFrame:
     """One YAML list entry per record: "Last, First", slashed dates, lower-case native country names, all texts
     quoted."""
-    status = F.when(F.col("is_active"), "active").otherwise("inactive")
-    fields = [
-        ("- member_id: ", F.col("customer_id").cast("string")),
-        ("  name: ", json_quoted(F.concat("last_name", F.lit(", "), "first_name"))),
-        ("  contact:", F.lit("")),
-        ("    email: ", json_quoted("email")),
-        ("    phone: ", json_quoted("phone")),
-        ("  born: ", json_quoted(F.coalesce("birth_text", F.date_format("birth_date", "yyyy/MM/dd")))),
-        ("  location:", F.lit("")),
-        ("    street: ", json_quoted("street")),
-        ("    city: ", json_quoted("city")),
-        ("    postcode: ", json_quoted("postal_code")),
-        ("    country: ", json_quoted(F.coalesce(F.col("country_text"), F.lower("native_name")))),
-        ("  joined: ", json_quoted(F.col("registered_at").cast("string"))),
-        ("  status: ", json_quoted(status)),
-        ("  value: ", json_quoted(F.coalesce(F.col("value_text"), money_text("lifetime_cents", ".")))),
-    ]
-    return records.select(*ORDER, F.concat_ws("\n", *[F.concat(F.lit(k), v) for k, v in fields]).alias("entry"))
+    texts = {
+        "name": F.concat("last_name", F.lit(", "), "first_name"),
+        "email": F.col("email"),
+        "phone": F.col("phone"),
+        "born": F.coalesce("birth_text", F.date_format("birth_date", "yyyy/MM/dd")),
+        "street": F.col("street"),
+        "city": F.col("city"),
+        "postcode": F.col("postal_code"),
+        "country": F.coalesce(F.col("country_text"), F.lower("native_name")),
+        "joined": F.col("registered_at").cast("string"),
+        "status": F.when(F.col("is_active"), "active").otherwise("inactive"),
+        "value": F.coalesce(F.col("value_text"), money_text("lifetime_cents", ".")),
+    }
+    values = {field: json_quoted(text) for field, text in texts.items()}
+    return records.select(*ORDER, member_entry({"member_id": F.col("customer_id").cast("string")} | values).alias("entry"))
 
 
 def write_crm(records: DataFrame, path: str) -> None:
@@ -137,7 +151,8 @@ def generate_sources(
         new = overlapped.filter(~F.col("repeated")).drop("record_id", "repeated")
         sample = stage(overlap_pool(new, pool_size, seed), f"{source}-pool")
         pool = sample if pool is None else pool.unionByName(sample)
-    summary = manifest(everything, seed, dirty_share, overlap_share)
+    files = {"crm": CRM_FILE, "webshop": WEBSHOP_FILE, "legacy": LEGACY_FILE}
+    summary = manifest(everything, seed, dirty_share, overlap_share, files)
     summary.coalesce(1).write.json(f"{folder}/{MANIFEST_FILE}")
     return everything
 
@@ -146,5 +161,5 @@ def _numbered(pool: DataFrame | None) -> DataFrame | None:
     """Renumbers the joint pool of all earlier sources (bounded by their number times the pool size)."""
     if pool is None:
         return None
-    order = W.orderBy("customer_id")
+    order = W.orderBy("customer_id")  # one window over the pool, whose size is a parameter
     return pool.withColumn("_pool_no", (F.row_number().over(order) - 1).cast("long"))

@@ -24,6 +24,8 @@ DEFAULTS = {
 
 MAX_BROADCAST_ROWS = 200_000
 
+_staged: list[str] = []
+
 
 def build_session(app_name: str = "meldspark", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the defaults above; ``settings`` uses ``__`` for dots and wins over them."""
@@ -64,10 +66,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_shared_path(spark, label)
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_tables() -> list[str]:
+    """Paths of the tables staged by this driver and not yet removed, in order."""
+    return list(_staged)
+
+
+def remove_staged(spark: SparkSession, since: int = 0) -> int:
+    """Deletes the tables staged by this driver (from number ``since`` on) and returns how many. For the end of a run:
+    results that still read them can't be computed any more."""
+    paths = _staged[since:]
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    del _staged[since:]
+    return len(paths)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Shuffles a table with fewer input splits than cores before heavy per-row work; larger inputs pass unchanged."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -10,28 +10,45 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COMMIT_SCHEMA = "sequence long, run string, tables array<string>"
+SHOWN = 20  # violations named in the error itself; the written report has all
 
 
 class RejectedPublish(ValueError):
     """The written tables broke a constraint; nothing was committed."""
 
 
-def _commits(spark: SparkSession, root: str) -> DataFrame | None:
+class LostRace(RuntimeError):
+    """Another publisher committed first; publish again on top of its commit."""
+
+
+def _newest(spark: SparkSession, root: str):
     try:
-        return spark.read.schema(COMMIT_SCHEMA).json(f"{root}/commits")
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
+        commits = spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", True).json(f"{root}/commits")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    return commits.orderBy(F.desc("sequence"), "run").first()
 
 
-def _newest(spark: SparkSession, root: str):
-    commits = _commits(spark, root)
-    return None if commits is None else commits.orderBy(F.desc("sequence"), F.desc("run")).first()
+def _commit(spark: SparkSession, root: str, sequence: int, run: str, tables: list[str]) -> None:
+    """Writes the commit under its sequence number, which fails if another publisher has taken it. Where a store lets
+    both write at the same moment, both see it afterwards, and readers and writers agree on the smaller run id."""
+    row = spark.createDataFrame([(sequence, run, tables)], COMMIT_SCHEMA).coalesce(1)
+    try:
+        row.write.mode("errorifexists").json(f"{root}/commits/{sequence:012d}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_ALREADY_EXISTS":
+            raise LostRace(f"commit {sequence} below {root} was made by another publisher") from error
+        raise
+    newest = _newest(spark, root)
+    if newest["sequence"] == sequence and newest["run"] != run:
+        raise LostRace(f"commit {sequence} below {root} was made by another publisher")
 
 
 def publish(
@@ -41,22 +58,29 @@ def publish(
 ) -> str:
     """Writes ``tables`` in order (parents first) below ``root`` and commits them together; returns the run id.
 
-    ``violations`` gets the written tables and returns (check, key, rows); any row stops the commit.
+    ``violations`` gets the written tables and returns (check, key, rows); any row stops the commit. All of them
+    are written beside the run, the error names their number and the first few. Of two publishers that start from
+    the same commit, one gets ``LostRace``.
     """
     spark = next(iter(tables.values())).sparkSession
     run = uuid.uuid4().hex
+    last = _newest(spark, root)
     written = {}
     for name, df in tables.items():
         path = f"{root}/{name}/{run}"
         df.write.parquet(path)
         written[name] = spark.read.schema(df.schema).parquet(path)
     if violations is not None:
-        found = violations(written).limit(20).collect()
-        if found:
-            raise RejectedPublish("; ".join(f"{r['check']}: {r['key']} ({r['rows']} rows)" for r in found))
-    last = _newest(spark, root)
-    row = (1 if last is None else last["sequence"] + 1, run, list(tables))
-    spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/commits")
+        path = f"{root}/violations/{run}"
+        found = violations(written)
+        found.write.json(path)
+        found = spark.read.schema(found.schema).json(path)
+        total = found.count()
+        if total:
+            first = found.orderBy("check", "key").limit(SHOWN).collect()
+            shown = "; ".join(f"{r['check']}: {r['key']} ({r['rows']} rows)" for r in first)
+            raise RejectedPublish(f"{total} violations, all in {path}; first: {shown}")
+    _commit(spark, root, 1 if last is None else last["sequence"] + 1, run, list(tables))
     return run
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from meldspark.sources.numbering import number_source_rows, with_file_position
+from meldspark.sources.numbering import POSITION, number_source_rows, with_file_position
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -15,7 +15,7 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def _finish(df: DataFrame, numbered: bool) -> DataFrame:
-    return number_source_rows(with_file_position(df)) if numbered else df
+    return number_source_rows(df) if numbered else df
 
 
 def read_delimited(
@@ -26,23 +26,32 @@ def read_delimited(
     header: bool = True,
     multi_line: bool = False,
     numbered: bool = False,
+    positioned: bool = False,
 ) -> DataFrame:
     """Delimited text, every column as text; quotes are doubled inside quoted fields.
 
-    A line with too many or too few fields fails the read. ``multi_line`` allows line ends inside quotes at
-    the price of unsplittable files. ``numbered`` adds ``source_row``.
+    With a header, columns are found by their names in the first file, in any order and among others; a missing one
+    fails, and so does a file whose header differs from the first. A line with too many or too few fields fails the read.
+    ``multi_line`` allows line ends inside quotes at the price of unsplittable files. ``numbered`` adds ``source_row``;
+    ``positioned`` adds the position columns instead, from which rows can be numbered later.
     """
-    reader = spark.read.schema(text_schema(columns)).options(
-        sep=sep, quote='"', escape='"', header=header, multiLine=multi_line, mode="FAILFAST"
-    )
-    return _finish(reader.csv(path), numbered)
+    options = dict(sep=sep, quote='"', escape='"', header=header, multiLine=multi_line, mode="FAILFAST")
+    present = spark.read.options(**options).csv(path).columns if header else []
+    if missing := [c for c in columns if present and c not in present]:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    reader = spark.read.schema(text_schema(present or columns)).options(**options, enforceSchema=not present)
+    rows = reader.csv(path)
+    if numbered or positioned:
+        rows = with_file_position(rows)
+    return _finish(rows.select(*columns, *[c for c in POSITION if c in rows.columns]), numbered)
 
 
 def read_json_lines(
-    spark: SparkSession, path: str, schema: T.StructType | str, numbered: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str, numbered: bool = False, positioned: bool = False
 ) -> DataFrame:
     """One JSON object per line under a declared, possibly nested schema. Text fields take any JSON scalar."""
-    return _finish(spark.read.schema(schema).option("mode", "FAILFAST").json(path), numbered)
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return _finish(with_file_position(rows) if numbered or positioned else rows, numbered)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:

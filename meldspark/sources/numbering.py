@@ -1,8 +1,10 @@
 """Dense row numbers without pulling the rows through one task.
 
-Rows are staged once with their position (file, split, place in the task). One small table counts rows per
-split; running totals over it give every split its first number, and a join by split adds it to the rows. The
-stage keeps the positions fixed: both passes read the same written table, whatever the cluster size then.
+Rows carry their position (file, split, place in the task) from the reader on. Once they are staged, one small table
+counts rows per split; running totals over it give every split its first number, and a lookup by split adds it
+to those rows that need it. The stage keeps the positions fixed: both passes read the same written table, whatever the
+cluster's size then. The data rows are never shuffled for it: the lookup table has one row of two numbers per split and
+is broadcast up to ``MAX_SPLITS`` of them, which at 128 MB a split is half a petabyte.
 """
 
 from __future__ import annotations
@@ -16,36 +18,50 @@ from pyspark.sql import Window as W
 from meldspark.session import broadcast_if_small, stage
 
 FILE, SPLIT, PLACE = "_file", "_split", "_place"
+POSITION = (FILE, SPLIT, PLACE)
+MAX_SPLITS = 4_000_000
 
 
 def with_file_position(df: DataFrame) -> DataFrame:
-    """Adds file path and split start; call directly on a file reader's DataFrame."""
-    return df.select(
-        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(SPLIT)
+    """Adds file path, split start and place; call directly on a file reader's DataFrame."""
+    return with_place(
+        df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(SPLIT))
     )
 
 
-def _add_numbers(staged: DataFrame, name: str) -> DataFrame:
-    counts = staged.groupBy(FILE, SPLIT).agg(F.min(PLACE).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    counts = stage(counts, f"{name}-splits")
+def with_place(df: DataFrame) -> DataFrame:
+    """The place of a row among those that its task reads, increasing in reading order."""
+    return df.withColumn(PLACE, F.monotonically_increasing_id())
+
+
+def split_shifts(staged: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """(_key, _shift): what to add to a row's place to get its number, by split; numbers start anew for each value of
+    ``within``. ``staged`` has the position columns."""
+    counts = staged.groupBy(*within, FILE, SPLIT).agg(F.min(PLACE).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     # Running totals: inside each file by split, then over files. These rows are one per split and one per
     # file, which the driver lists anyway; the data rows never meet in one task.
-    in_file = W.partitionBy(FILE).orderBy(SPLIT).rowsBetween(W.unboundedPreceding, -1)
-    over_files = W.orderBy(FILE).rowsBetween(W.unboundedPreceding, -1)
-    files = (
-        counts.groupBy(FILE)
-        .agg(F.sum("_rows").alias("_file_rows"))
-        .select(FILE, F.coalesce(F.sum("_file_rows").over(over_files), F.lit(0)).alias("_file_base"))
-    )
-    bases = (
-        counts.withColumn("_split_base", F.coalesce(F.sum("_rows").over(in_file), F.lit(0)))
-        .join(files, FILE)
-        .select(FILE, SPLIT, (F.col("_file_base") + F.col("_split_base") - F.col("_first") + 1).alias("_shift"))
-    )
+    in_file = W.partitionBy(*within, FILE).orderBy(SPLIT).rowsBetween(W.unboundedPreceding, -1)
+    over_files = W.partitionBy(*within).orderBy(FILE).rowsBetween(W.unboundedPreceding, -1)
+    sized = counts.withColumn("_split_base", F.coalesce(F.sum("_rows").over(in_file), F.lit(0)))
+    files = counts.groupBy(*within, FILE).agg(F.sum("_rows").alias("_file_rows"))
+    files = files.select(*within, FILE, F.coalesce(F.sum("_file_rows").over(over_files), F.lit(0)).alias("_file_base"))
+    shift = F.col("_file_base") + F.col("_split_base") - F.col("_first") + 1
+    return sized.join(files, [*within, FILE]).select(_split_key().alias("_key"), shift.alias("_shift"))
+
+
+def _split_key() -> Column:
+    return F.xxhash64(FILE, SPLIT)
+
+
+def add_numbers(positioned: DataFrame, shifts: DataFrame, name: str) -> DataFrame:
+    """Replaces the position columns by the row's number."""
+    splits, keys = shifts.agg(F.count(F.lit(1)), F.count_distinct("_key")).first()
+    if splits != keys:
+        raise RuntimeError("two splits have the same hash; rename a file")
     return (
-        staged.join(broadcast_if_small(stage(bases, f"{name}-bases")), [FILE, SPLIT])
+        positioned.join(broadcast_if_small(shifts, splits, MAX_SPLITS), _split_key() == F.col("_key"))
         .withColumn(name, F.col(PLACE) + F.col("_shift"))
-        .drop(FILE, SPLIT, PLACE, "_shift")
+        .drop(*POSITION, "_key", "_shift")
     )
 
 
@@ -55,19 +71,22 @@ def number_source_rows(positioned: DataFrame, name: str = "source_row") -> DataF
     ``positioned`` comes from ``with_file_position``, possibly followed by steps that keep row order
     (projections, ``mapInPandas``).
     """
-    return _add_numbers(stage(positioned.withColumn(PLACE, F.monotonically_increasing_id()), name), name)
+    staged = stage(positioned, name)
+    return add_numbers(staged, stage(split_shifts(staged), f"{name}-splits"), name)
 
 
 def number_in_order(df: DataFrame, order: Sequence[str | Column], name: str = "id") -> DataFrame:
     """Surrogate key 1..n in the given order: a range shuffle and running totals, no single-task sort.
 
     Rows that tie are ordered by a hash of the whole row, so a frequent value of the order columns still spreads over
-    several ranges and the numbers do not depend on the partitioning.
+    several ranges and the numbers do not depend on the partitioning. Fully equal rows, for which any order is
+    the same, are spread by where they were read.
     """
     ordered = (
-        df.orderBy(*order, F.xxhash64(*df.columns))
+        df.withColumn(PLACE, F.monotonically_increasing_id())
+        .orderBy(*order, F.xxhash64(*df.columns), PLACE)
         .withColumn(FILE, F.lit(""))
         .withColumn(SPLIT, F.spark_partition_id().cast("long"))
         .withColumn(PLACE, F.monotonically_increasing_id())
     )
-    return _add_numbers(stage(ordered, name), name)
+    return number_source_rows(ordered, name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -35,8 +36,8 @@ def read_json_document(spark: SparkSession, path: str, schema: T.StructType | st
         df = reader.json(path)
         df.schema
         return df
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 

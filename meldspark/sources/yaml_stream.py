@@ -1,69 +1,51 @@
 """Reader for multi-document YAML streams whose documents are lists of maps.
 
-The text is split where a new list entry begins ("- " at the start of a line), so a file splits into many
-tasks and a document of any length never has to fit into one of them. Each task rejoins its entries batch by
-batch into a valid stream, parses it, and hands the entries on as JSON text; Spark's JSON reader then gives
-them their declared, nested schema. Anchors must not reach from one entry into another.
+The text is split where a new list entry begins (a dash at the start of a line, behind as many blanks as the first
+entry has), so a file splits into many tasks and a document of any length never has to fit into one of them. Entries
+in the plainest form become JSON text by built-in functions. Each task hands all others, batch by batch and rejoined
+into a valid stream, to the YAML loader. Spark's JSON reader then gives the entries their declared, nested schema.
+Anchors must not reach from one entry into another.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meldspark.sources.numbering import FILE, SPLIT, number_source_rows, with_file_position
+from meldspark.sources.numbering import FILE, PLACE, SPLIT, number_source_rows, with_file_position, with_place
 
-ENTRY_MARK = "\n- "
+# A key that isn't read as a truth value, and a value that reads the same as YAML and JSON: quoted text without escapes,
+# control characters or line separators, a whole number, a truth value, null.
+KEY = r"(?!(?i:yes|no|on|off|true|false|null):)[A-Za-z_][A-Za-z0-9_]*+"
+VALUE = r'(?:"[^"\\\x00-\x1f\x7f-\x9f\u2028\u2029\ufeff]*+"|0|[1-9][0-9]*+|true|false|null)'
 
 
-def _entry_parser():
-    """The ``mapInPandas`` worker, built as a closure so that workers need no module of ours.
+def plain_json(entry: Column, indent: str = "") -> Column:
+    """JSON text of an entry in the plain form (maps nested once, four blanks deep), NULL for any other."""
+    inner = rf"\n{indent}    {KEY}: {VALUE}"
+    field = rf"{KEY}:(?: {VALUE}|(?:{inner})++|)"
+    whole = rf"\A{field}(?:\n{indent}  {field})*+(?:\n---)?\n?\z"
+    begin, end = rf"(?:\A|\n{indent}  )", r"(?=\n|\z)"
+    text = F.regexp_replace(entry, r"(?:\n---)?\n?\z", "")
+    text = F.regexp_replace(text, rf"\n{indent}    ({KEY}): ({VALUE}){end}", ',"$1":$2')
+    text = F.regexp_replace(text, rf"({begin})({KEY}):,([^\n]*+)", "$1$2: {$3}")
+    text = F.regexp_replace(text, rf"({begin})({KEY}):{end}", "$1$2: null")
+    text = F.regexp_replace(text, rf"{begin}({KEY}): ", ',"$1":')
+    return F.when(entry.rlike(whole), F.concat(F.lit("{"), F.substring(text, 2, 2**31 - 1), F.lit("}")))
 
-    Entries in the plainest form (keys with quoted, whole-number or empty values, maps nested once) are rewritten
-    line by line, several times faster than the YAML loader does it; all others go through the loader.
-    """
+
+def _entry_parser(indent: str = ""):
+    """The ``mapInPandas`` worker, built as a closure so that workers need no module of ours."""
 
     def parse(batches):
         import itertools
         import json
-        import re
 
         import pandas as pd
         import yaml
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-        # A quoted text without escapes, control characters or line separators reads the same as YAML and JSON.
-        scalar = r'"[^"\\\x00-\x1f\x7f-\x9f\u2028\u2029\ufeff\ud800-\udfff]*"|0|[1-9][0-9]*|true|false|null'
-        field = re.compile(rf"( *)([A-Za-z_][A-Za-z0-9_]*):(?: ({scalar}))?").fullmatch
-        special_keys = {"yes", "no", "on", "off", "true", "false", "null"}
-
-        def plain_entry(chunk):
-            """JSON text of an entry in the plain form, None for any other."""
-            fields, nested = {}, None
-            for number, line in enumerate(chunk.removesuffix("\n").removesuffix("\n---").split("\n")):
-                match = field(line)
-                if match is None:
-                    return None
-                indent, key, value = len(match[1]), match[2], match[3]
-                if indent == 4 and nested is not None and value is not None:
-                    target = nested
-                elif indent == (2 if number else 0):
-                    target = fields
-                    nested = {} if value is None else None
-                    value = nested if value is None else value
-                else:
-                    return None
-                if key in target or key.lower() in special_keys:
-                    return None
-                target[key] = value
-
-            def text(value):
-                if isinstance(value, str):
-                    return value
-                return "{" + ",".join(f'"{k}":{text(v)}' for k, v in value.items()) + "}" if value else "null"
-
-            return text(fields)
 
         def loaded_entries(chunks):
             for document in yaml.load_all("\n".join(chunks), Loader=loader):
@@ -76,7 +58,7 @@ def _entry_parser():
             runs = (file.ne(file.shift()) | split.ne(split.shift())).cumsum()
             for _, run in batch.groupby(runs, sort=False):
                 path, start = run["_file"].iloc[0], run["_split"].iloc[0]
-                chunks = [("- " + chunk, plain_entry(chunk)) for chunk in run["value"]]
+                chunks = [(f"{indent}- {chunk}", plain) for chunk, plain in zip(run["value"], run["_json"])]
                 if start == 0 and opened != path:
                     opened, chunks[0] = path, (run["value"].iloc[0], None)
                 entries = []
@@ -91,13 +73,29 @@ def _entry_parser():
     return parse
 
 
+def list_indent(spark: SparkSession, path: str) -> str:
+    """The blanks before the first list entry below ``path``; reads no further than that entry."""
+    found = spark.read.text(path).filter(F.col("value").rlike("^ *- ")).first()
+    return found[0][: found[0].index("-")] if found else ""
+
+
+def entry_chunks(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """(value, _json, file, split) of every entry, and the indent; the first text of a file may have a head instead."""
+    indent = list_indent(spark, path)
+    chunks = with_file_position(spark.read.option("lineSep", f"\n{indent}- ").text(path)).drop(PLACE)
+    return chunks.withColumn("_json", plain_json(F.col("value"), indent)), indent
+
+
 def read_yaml_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, numbered: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str, numbered: bool = False, positioned: bool = False
 ) -> DataFrame:
-    """Every list entry as one row of ``schema``; a missing nested map gives NULL fields."""
-    chunks = with_file_position(spark.read.option("lineSep", ENTRY_MARK).text(path))
-    entries = chunks.mapInPandas(_entry_parser(), f"entry string, {FILE} string, {SPLIT} long")
+    """Every list entry as one row of ``schema``; a missing nested map gives NULL fields. ``numbered`` adds
+    ``source_row``, ``positioned`` the position columns instead."""
+    chunks, indent = entry_chunks(spark, path)
+    entries = chunks.mapInPandas(_entry_parser(indent), f"entry string, {FILE} string, {SPLIT} long")
     parsed = entries.select(
         F.from_json("entry", schema, {"mode": "FAILFAST"}).alias("row"), FILE, SPLIT
     ).select("row.*", FILE, SPLIT)
-    return number_source_rows(parsed) if numbered else parsed.drop(FILE, SPLIT)
+    if numbered or positioned:
+        return number_source_rows(with_place(parsed)) if numbered else with_place(parsed)
+    return parsed.drop(FILE, SPLIT)

@@ -200,18 +200,26 @@ def _companies(spark, sf_dir):
 
 
 ABROAD = """
-    abroad AS (SELECT c_mktsegment AS industry, c_name AS name FROM customer JOIN nation ON n_nationkey = c_nationkey
-               WHERE nullif(n_name, 'NATION_7') <> 'NATION_0')
+    abroad AS (SELECT nullif(c_mktsegment, 'BUILDING') AS industry, if(c_mktsegment = 'MACHINERY', NULL, c_name) AS name
+               FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE nullif(n_name, 'NATION_7') <> 'NATION_0')
 """
 
 
+def _companies_with_gaps(spark, sf_dir):
+    """One industry without a name of its own, one whose companies have no names."""
+    companies = _companies(spark, sf_dir)
+    return companies.withColumn("name", F.when(F.col("industry") != "MACHINERY", F.col("name"))).withColumn(
+        "industry", F.nullif("industry", F.lit("BUILDING"))
+    )
+
+
 @query(f"""
     WITH {ABROAD} SELECT industry, CAST(1 AS BIGINT) AS part, count(*) AS companies,
-      string_agg(name, ', ' ORDER BY name) AS names FROM abroad GROUP BY industry HAVING count(*) >= 2
+      coalesce(string_agg(name, ', ' ORDER BY name), '') AS names FROM abroad GROUP BY industry HAVING count(*) >= 2
 """)
 def names_by_group(spark, sf_dir):
-    """Names abroad by industry; rows without a country are left out."""
-    return industries_outside(_companies(spark, sf_dir), "NATION_0")
+    """Names abroad by industry; rows without a country are left out, NULL is an industry too."""
+    return industries_outside(_companies_with_gaps(spark, sf_dir), "NATION_0")
 
 
 @query(f"""
@@ -219,11 +227,12 @@ def names_by_group(spark, sf_dir):
       SELECT *, count(*) OVER (PARTITION BY industry) AS rows, CAST(floor(coalesce(sum(length(name) + 2) OVER (
         PARTITION BY industry ORDER BY name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 2000) + 1 AS BIGINT)
         AS part FROM abroad)
-    SELECT industry, part, rows, string_agg(name, ', ' ORDER BY name) AS text FROM placed GROUP BY industry, part, rows
+    SELECT industry, part, rows, coalesce(string_agg(name, ', ' ORDER BY name), '') AS text FROM placed
+    GROUP BY industry, part, rows
 """)
 def names_in_parts(spark, sf_dir):
     """A5 with groups longer than one text may be: numbered parts, nothing left out."""
-    abroad = _companies(spark, sf_dir).filter(F.col("country") != "NATION_0")
+    abroad = _companies_with_gaps(spark, sf_dir).filter(F.col("country") != "NATION_0")
     return text_by_group(abroad, ["industry"], "name", max_text=2000)
 
 

@@ -12,6 +12,7 @@ from meldspark.plans.customers import (
     WEBSHOP_FILE,
     consolidate_files,
 )
+from meldspark.plans.exports import MEMBER_LINES, member_entry
 from meldspark.session import new_shared_path
 from meldspark.sinks.files import (
     sorted_output,
@@ -30,13 +31,13 @@ from registry.raw_sources import crm_rows, legacy_rows, webshop_rows
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || '; \"' || c_mktsegment || '\"' AS c_name FROM customer")
 def csv_roundtrip(spark, sf_dir):
-    """Separators and quotes inside fields survive."""
+    """Separators and quotes inside fields survive; columns are found by the header, whatever their order."""
     rows = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("c_custkey"),
         F.concat("c_name", F.lit('; "'), "c_mktsegment", F.lit('"')).alias("c_name"),
     )
     path = new_shared_path(spark, "csv")
-    write_delimited(rows, path, sep=";", header=True)
+    write_delimited(rows, path, ["c_name", "c_custkey"], sep=";", header=True)
     return read_delimited(spark, path, rows.columns)
 
 
@@ -134,14 +135,10 @@ def write_raw_sources(spark, sf_dir, folder):
     crm, webshop, legacy = (f(spark, sf_dir) for f in (crm_rows, webshop_rows, legacy_rows))
     write_delimited(sorted_output(crm, "source_row"), f"{folder}/{CRM_FILE}", CRM_COLUMNS, sep=";", header=True)
     write_json_lines(sorted_output(webshop, "source_row").drop("source_row"), f"{folder}/{WEBSHOP_FILE}")
-    lines = [
-        ("- member_id: ", "member_id"), ("  name: ", "name"), ("  contact:", None), ("    email: ", "contact.email"),
-        ("    phone: ", "contact.phone"), ("  born: ", "born"), ("  location:", None),
-        ("    street: ", "location.street"), ("    city: ", "location.city"), ("    postcode: ", "location.postcode"),
-        ("    country: ", "location.country"), ("  joined: ", "joined"), ("  status: ", "status"), ("  value: ", "value"),
-    ]
-    texts = [F.concat(F.lit(head), json_quoted(field)) if field else F.lit(head) for head, field in lines]
-    members = legacy.select("source_row", F.concat_ws("\n", *texts).alias("entry"))
+    paths = {"email": "contact.email", "phone": "contact.phone"}
+    paths |= {field: f"location.{field}" for field in ("street", "city", "postcode", "country")}
+    values = {field: json_quoted(paths.get(field, field)) for _, field in MEMBER_LINES if field}
+    members = legacy.select("source_row", member_entry(values).alias("entry"))
     write_yaml_stream(
         members, f"{folder}/{LEGACY_FILE}", "entry", ["source_row"], per_document=700, title="Members"
     )

@@ -145,17 +145,13 @@ def clean_text(spark, sf_dir):
     )
 
 
-@query("""
-    SELECT p_partkey, nullif(trim(name), '') AS clean, upper(left(trim(name), 1)) || lower(substr(trim(name), 2)) AS proper
-    FROM (SELECT p_partkey, upper(p_name) || ' ' AS name FROM part)
-""")
+@query(CLEANED)
 def clean_text_sql(spark, sf_dir):
     """The same as functions inside SQL text."""
     text.register_sql_functions(spark)
     return spark.sql(
-        "SELECT p_partkey, blank_to_null(name) AS clean, proper_case(name) AS proper "
-        "FROM (SELECT p_partkey, upper(p_name) || ' ' AS name FROM {part})",
-        part=table(spark, sf_dir, "part"),
+        "SELECT p_partkey, blank_to_null(name) AS clean, proper_case(name) AS proper FROM {names}",
+        names=spark.sql(PADDED_NAMES, part=table(spark, sf_dir, "part")),
     )
 
 

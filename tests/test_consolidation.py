@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from meldspark.plans import customers as plan
-from meldspark.sinks.publish import RejectedPublish, current, publish
+from meldspark.session import staged_tables
+from meldspark.sinks import publish as publishing
+from meldspark.sinks.publish import LostRace, RejectedPublish, current, publish
 from meldspark.sources.countries import COUNTRIES, CountryEntry, country_dictionary, country_spellings
 
 CRM = dict(
@@ -167,3 +169,55 @@ def test_nothing_published(spark, tmp_path):
         current(spark, str(tmp_path / "none"), "customer")
     publish({"t": spark.range(3)}, str(tmp_path / "one"))
     assert current(spark, str(tmp_path / "one"), "t").count() == 3
+
+
+def test_all_violations_are_written(spark, tmp_path):
+    root = str(tmp_path / "published")
+    found = spark.range(50).selectExpr("'check' AS check", "CAST(id AS STRING) AS key", "id AS rows")
+    with pytest.raises(RejectedPublish) as error:
+        publish({"t": spark.range(1)}, root, lambda tables: found)
+    path = str(error.value).split("all in ")[1].split(";")[0]
+    assert "50 violations" in str(error.value) and spark.read.json(path).count() == 50
+    publish({"t": spark.range(1)}, root, lambda tables: found.limit(0))
+    assert current(spark, root, "t").count() == 1
+
+
+def test_one_of_two_publishers_wins(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "published")
+    publish({"t": spark.range(1)}, root)
+    stale = publishing._newest(spark, root)
+    publish({"t": spark.range(2)}, root)
+    with monkeypatch.context() as patch:
+        patch.setattr(publishing, "_newest", lambda *_: stale)
+        with pytest.raises(LostRace):
+            publish({"t": spark.range(3)}, root)
+    assert current(spark, root, "t").count() == 2
+
+
+def test_files_are_staged_once(spark, tmp_path):
+    (tmp_path / plan.CRM_FILE).write_text(";".join(plan.CRM_COLUMNS) + "\n" + ";".join(CRM.values()) + "\nx" + ";" * 12 + "\n")
+    (tmp_path / plan.WEBSHOP_FILE).write_text(json.dumps(WEBSHOP) + "\n")
+    entry = '- member_id: 9\n  name: "A, B"\n  contact:\n    email: "a@b.co"\n  born: "1990/02/01"\n'
+    entry += '  location:\n    country: "polska"\n  joined: "2020-01-02 03:04:05"\n  status: "active"\n  value: 1\n'
+    (tmp_path / plan.LEGACY_FILE).write_text(entry)
+    before = len(staged_tables())
+    report = plan.run_job(spark, str(tmp_path), str(tmp_path / "out"))
+    assert len(staged_tables()) - before <= 4
+    assert report.comparison is None
+    assert {r.customer_id: r.sources for r in current(spark, str(tmp_path / "out"), "customer").collect()} == {
+        1: "crm,webshop", 9: "legacy"
+    }
+    rejected = current(spark, str(tmp_path / "out"), "rejected_row").collect()
+    assert [tuple(r) for r in rejected] == [("crm", 2, "x", "missing or invalid customer_id")]
+
+
+def test_manifest_in_the_sources_folder_is_compared(spark, tmp_path):
+    summary = spark.createDataFrame(
+        [("rows_read", "crm", 3), ("customers_loaded", "", 2)], "metric string, item string, rows long"
+    )
+    text = '{"unique_customers": 3, "sources": {"crm": {"file": "c.csv", "records": 3}, "webshop": {"records": 4}}}'
+    (tmp_path / "m.json").write_text(text)
+    manifest = spark.read.schema(plan.MANIFEST_SCHEMA).json(str(tmp_path / "m.json"))
+    assert sorted(map(tuple, plan.compare_with_manifest(summary, manifest).collect())) == [
+        ("customers_loaded", "", 3, 2), ("rows_read", "crm", 3, 3), ("rows_read", "webshop", 4, 0)
+    ]

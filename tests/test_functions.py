@@ -120,10 +120,17 @@ def test_money_text(spark):
     assert [r[0] for r in cents.select(text.money_text("c", ",")).collect()] == [
         "0,00", "0,05", "-0,05", "1234,56", "-1,00"
     ]
+    wide = spark.sql("SELECT -9223372036854775808 AS c UNION ALL SELECT CAST(10 AS DECIMAL(38,0)) * 1000000000000000000000")
+    assert [r[0] for r in wide.select(text.money_text("c", ".")).collect()] == [
+        "-92233720368547758.08", "100000000000000000000.00"
+    ]
 
 
 def test_sql_functions(spark):
     text.register_sql_functions(spark)
+    names = spark.createDataFrame([(n,) for n in ("ßeta", "İZMİR", "ΟΔΟΣ", "ǆur", " ŉx ", "x", "", None)], "n string")
+    twins = names.select(text.proper_case("n").alias("a"), F.expr("proper_case(n)").alias("b")).collect()
+    assert all(r.a == r.b for r in twins) and twins[0].a == "ẞeta"
     row = spark.sql("SELECT proper_case('  jean PAUL ') a, blank_to_null('  ') b, proper_case(' ') c").first()
     assert tuple(row) == ("Jean paul", None, None)
 

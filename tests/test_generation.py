@@ -8,7 +8,7 @@ from meldspark.operators.sampling import fixed_sample
 from meldspark.plans.customers import (
     CRM_FILE,
     LEGACY_FILE,
-    MANIFEST_FILE,
+    MANIFEST_FILE, MANIFEST_SCHEMA,
     WEBSHOP_FILE,
     consolidate_files,
     rejection_rules,
@@ -47,16 +47,12 @@ def test_same_seed_gives_the_same_files_on_any_partitioning(spark):
 def test_consolidation_invariants(spark, seed):
     folder = generate(spark, seed)
     result = consolidate_files(spark, folder)
-    schema = (
-        "unique_customers long, sources map<string, struct<records: long, also_in_earlier_sources: long, "
-        "defects: map<string, long>>>"
-    )
-    manifest = read_json_document(spark, f"{folder}/{MANIFEST_FILE}", schema).first()
+    manifest = read_json_document(spark, f"{folder}/{MANIFEST_FILE}", MANIFEST_SCHEMA).first()
     summary = {(r.metric, r.item): r.rows for r in result.summary.collect()}
     read = {item: rows for (metric, item), rows in summary.items() if metric == "rows_read"}
     assert read == {name: report.records for name, report in manifest.sources.items()}
-    assert manifest.sources["crm"].also_in_earlier_sources == 0
-    assert manifest.sources["legacy"].also_in_earlier_sources > 0
+    assert manifest.sources["crm"].customers_also_in_earlier_sources == 0
+    assert manifest.sources["legacy"].customers_also_in_earlier_sources > 0
     assert {d for report in manifest.sources.values() for d in report.defects} <= set(DEFECTS)
 
     customers = result.customer
@@ -86,6 +82,13 @@ def test_fixed_sample_is_exact_and_uniform(spark):
     assert fixed_sample(spark.range(5), "id", 10, 3).count() == 5
 
 
+@pytest.mark.parametrize("rows", [20, 5000])
+def test_rows_without_a_key_are_never_sampled(spark, rows):
+    df = spark.range(rows).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    sample = fixed_sample(df, "k", 8, 3).collect()
+    assert len(sample) == 8 and all(r.k is not None for r in sample)
+
+
 def test_drawn_values_stay_in_their_ranges(spark):
     pools = country_pools(spark, country_dictionary(spark))
     df = synthetic_customers(spark.range(3000), "id", pools, 1)

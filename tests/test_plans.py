@@ -67,3 +67,23 @@ def test_ties_spread_over_ranges(spark):
     first = {r.id: r.n for r in number_in_order(df, ["k"], "n").collect()}
     again = {r.id: r.n for r in number_in_order(df.repartition(3), ["k"], "n").collect()}
     assert first == again and sorted(first.values()) == list(range(1, 5001))
+
+
+def test_only_repeated_slots_are_joined(spark):
+    from meldspark.operators.generate import country_pools, overlap_pool, synthetic_customers, with_overlap
+    from meldspark.session import stage
+    from meldspark.sources.countries import country_dictionary
+
+    pools = country_pools(spark, country_dictionary(spark))
+    first, second = (synthetic_customers(spark.range(a, a + 400), "id", pools, 3) for a in (0, 1000))
+    records = with_overlap(second, stage(overlap_pool(first, 20, 3), "pool"), 0.25, 3)
+    plan = explained(records)
+    assert "LeftOuter" not in plan and "Union" in plan
+    assert records.count() == 400 and 60 < records.filter("repeated").count() < 140
+
+
+def test_listing_breaks_ties(spark):
+    from meldspark.plans.analytics import wealth_listing
+
+    df = spark.range(200).select("id", F.lit(1.0).alias("per_head"))
+    assert [r.id for r in wealth_listing(df).collect()] == [r.id for r in wealth_listing(df.repartition(7)).collect()]

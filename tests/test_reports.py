@@ -7,21 +7,11 @@ from pyspark.sql import functions as F
 
 from meldspark.operators.grouping import count_where, text_by_group, word_counts
 from meldspark.plans import analytics
-from meldspark.plans.person_tax import person_tax_report, run_person_tax
+from meldspark.plans.person_tax import REPORT_TYPES, JdbcSplit, RepeatedPerson, person_tax_report, run_person_tax
 from meldspark.sinks.jdbc import jdbc_write_options, replace_table
 from meldspark.sources.tables import inferred_table, jdbc_scan_options, line_table, typed_table
 
-# Incomes of the hundred seeded persons, in person order.
-INCOMES = """
-123000.33 12.33 1503 123000.33 12.33 1503 13000.33 125.33 14503 3123000.33 1244.33 15203 48250.10 72100 3850.75
-91400.20 26780.50 158300 64520.45 8900 43210.99 117650.30 5230.80 38900 205400.15 67300.60 1999.99 84750 29640.25
-136200.40 45000 7815.35 99870.10 52360.70 310500 18430.55 76900.25 4120 61275.80 143800.05 33300 88150.65 12675.40
-245900 57430.20 9360.90 71800 166250.35 40560.75 2875.10 95340 23180.60 128700.45 69015 15840.30 47725.85 188300
-36410.20 5670 102950.55 58240.40 27390 81460.15 11025.70 139500 44890.35 6340.95 97210 31875.60 174400.25 53600
-20145.80 86730.45 3290 119840.10 62580.30 14960 79215.65 228750 39480.55 8125.20 104630 49970.85 25310.40 67890
-152275.15 34615.90 7480 91055.35 43360.70 211900 16725.25 73540.60 5915 125480.40 55505.75 28840 83170.20 10450.95
-197600
-""".split()
+INCOMES = [Decimal(7919 * i % 220_000) + Decimal("0.25") for i in range(1, 101)]
 
 PERSON = "id int, name string, last_name string, tax_id int"
 TAX = "id int, income decimal(12,2)"
@@ -29,7 +19,7 @@ TAX = "id int, income decimal(12,2)"
 
 def tables(spark):
     person = typed_table(spark, [(i + 1, f"First{i + 1}", "Last", 1000 - i) for i in range(len(INCOMES))], PERSON)
-    tax = typed_table(spark, [(1000 - i, Decimal(v)) for i, v in enumerate(INCOMES)], TAX)
+    tax = typed_table(spark, [(1000 - i, v) for i, v in enumerate(INCOMES)], TAX)
     return person, tax
 
 
@@ -37,10 +27,12 @@ def test_seeded_report(spark):
     report = person_tax_report(*tables(spark))
     found = {r.income_bracket: (r.n, r.total) for r in report.groupBy("income_bracket").agg(
         F.count(F.lit(1)).alias("n"), F.sum("income").alias("total")).collect()}
-    assert found == {
-        "low": (30, Decimal("228188.84")), "mid": (47, Decimal("2701252.19")), "high": (23, Decimal("6727329.14")),
-    }
-    assert tuple(report.filter("person_id = 100").first()) == (100, "First100 Last", Decimal("197600.00"), "high")
+    expected = {}
+    for name, low, high in (("low", 0, 20_000), ("mid", 20_000, 100_000), ("high", 100_000, 10**9)):
+        inside = [v for v in INCOMES if low <= v < high]
+        expected[name] = (len(inside), sum(inside))
+    assert found == expected
+    assert tuple(report.filter("person_id = 100").first()) == (100, "First100 Last", Decimal("131900.25"), "high")
 
 
 def test_first_person_and_missing_tax_rows(spark):
@@ -65,12 +57,28 @@ def test_run_replaces_table_and_writes_parquet_only_on_request(spark, tmp_path):
     spark.sql("DROP TABLE person_tax_report")
 
 
+def test_repeated_person_stops_the_run(spark):
+    person, tax = tables(spark)
+    loaded = []
+    with pytest.raises(RepeatedPerson, match="person_id key: 3 "):
+        run_person_tax(person.union(person.filter("id = 3")), tax, loaded.append)
+    assert not loaded
+
+
+def test_long_names_are_loaded_whole(spark):
+    person = typed_table(spark, [(1, "x" * 5000, "y", 1)], PERSON)
+    tax = typed_table(spark, [(1, Decimal(1))], TAX)
+    assert len(person_tax_report(person, tax).first().full_name) == 5002 and "full_name" not in REPORT_TYPES
+
+
 def test_jdbc_options():
     scan = jdbc_scan_options("jdbc:x", "person", "id", (1, 100), 4, user="u")
     assert scan["partitionColumn"] == "id" and scan["numPartitions"] == "4" and scan["user"] == "u"
     assert "partitionColumn" not in jdbc_scan_options("jdbc:x", "person")
     with pytest.raises(ValueError):
         jdbc_scan_options("jdbc:x", "person", "id")
+    split = JdbcSplit("id", (1, 9), 3)
+    assert jdbc_scan_options("jdbc:x", "person", **split.options())["upperBound"] == "9"
     write = jdbc_write_options("jdbc:x", "report", column_types="a VARCHAR(9)")
     assert write["createTableColumnTypes"] == "a VARCHAR(9)" and write["batchsize"] == "10000"
 
@@ -166,3 +174,13 @@ def test_long_groups_come_in_whole_parts(spark, partitions):
     assert joined == expected
     assert {r.rows for r in found if r.k == "hot"} == {1300}
     assert [r.part for r in found if r.k == "hot"] == list(range(1, len(whole["hot"]) + 1))
+
+
+@pytest.mark.parametrize("max_text", [1, 3, 64_000_000])
+def test_both_ways_give_the_same_groups(spark, max_text):
+    rows = [(None, "b"), (None, "a"), ("x", None), ("x", None), ("n", "q"), ("n", None), (None, None)]
+    df = spark.createDataFrame(rows, "k string, v string")
+    found = {}
+    for r in sorted(text_by_group(df, ["k"], "v", ",", max_text=max_text).collect(), key=lambda r: r.part):
+        found.setdefault((r.k, r.rows), []).append(r.text)
+    assert {k: ",".join(v) for k, v in found.items()} == {(None, 3): "a,b", ("x", 2): "", ("n", 2): "q"}

@@ -114,27 +114,82 @@ ENTRIES = [
 ]
 
 
+@pytest.mark.parametrize("indent", ["", "  "])
 @pytest.mark.parametrize("per_document", [1, 3, 100])
-def test_yaml_worker_agrees_with_the_loader(per_document):
+def test_yaml_entries_agree_with_the_loader(spark, per_document, indent):
     """Each kind of entry, plain or not, between plain ones; in batches of different sizes."""
     import json
 
     import pandas as pd
     import yaml
 
-    from meldspark.sources.yaml_stream import _entry_parser
+    from meldspark.sources.yaml_stream import _entry_parser, plain_json
 
     entries = [e for entry in ENTRIES for e in ('- a: "p"\n  b:\n    c: 3', entry)]
+    entries = [e if e.endswith("...") else e.replace("\n", f"\n{indent}") for e in entries]
     stream = "# head\n"
     for i, entry in enumerate(entries):
-        stream += ("---\n" if i % per_document == 0 or entries[i - 1].endswith("...") else "") + entry + "\n"
+        opens = i % per_document == 0 or entries[i - 1].endswith("...")
+        stream += ("---\n" if opens else "") + indent + entry + "\n"
     expected = [json.loads(json.dumps(e, default=str)) for d in yaml.safe_load_all(stream) for e in d or ()]
-    chunks = pd.DataFrame({"value": stream.split("\n- "), "_file": "f", "_split": 0})
+    rows = list(enumerate(stream.split(f"\n{indent}- ")))
+    chunks = spark.createDataFrame(rows, "n int, value string").withColumn("_json", plain_json(F.col("value"), indent))
+    chunks = pd.DataFrame([r.asDict() for r in chunks.orderBy("n").collect()]).assign(_file="f", _split=0)
+    assert 20 < chunks["_json"].notna().sum() < len(chunks) - 10
     batches = [chunks[:1], chunks[1:8], chunks[8:]]
-    found = [json.loads(e) for out in _entry_parser()(batches) for e in out["entry"]]
+    found = [json.loads(e) for out in _entry_parser(indent)(batches) for e in out["entry"]]
     assert found == expected
 
 
+def test_indented_stream_falls_into_splits(spark, tmp_path, small_splits):
+    from meldspark.sources.yaml_stream import entry_chunks
+
+    text = "---\n" + "".join(f'  - member_id: {i}\n    contact:\n      email: "x{i}"\n' for i in range(200))
+    (tmp_path / "m.yml").write_text(text)
+    chunks, indent = entry_chunks(spark, str(tmp_path))
+    filled = chunks.groupBy(F.spark_partition_id()).count().count()
+    assert indent == "  " and filled > 8 and filled >= chunks.select("_split").distinct().count() - 1
+    rows = read_yaml_stream(spark, str(tmp_path), YAML_SCHEMA, numbered=True).collect()
+    assert sorted((r.source_row, r.member_id, r.contact.email) for r in rows) == [
+        (i + 1, str(i), f"x{i}") for i in range(200)
+    ]
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    path = tmp_path / "h.csv"
+    path.write_text("b;a;c\n1;2;3\n")
+    assert tuple(read_delimited(spark, str(path), ["a", "b"]).first()) == ("2", "1")
+    assert read_delimited(spark, str(path), ["a"], numbered=True).first().source_row == 1
+    with pytest.raises(ValueError, match="no column d"):
+        read_delimited(spark, str(path), ["a", "d"])
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "p1.csv").write_text("a;b\n1;2\n")
+    (tmp_path / "p2.csv").write_text("b;a\n1;2\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, str(tmp_path), ["a", "b"]).collect()
+
+
+def test_numbering_shuffles_no_data_rows(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("a;b\n" + "1;2\n" * 50)
+    df = read_delimited(spark, str(tmp_path), ["a", "b"], numbered=True)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_staged_tables_can_be_removed(spark):
+    import os
+
+    from meldspark.session import remove_staged, staged_tables
+
+    before = len(staged_tables())
+    stage(spark.range(3), "gone")
+    path = staged_tables()[-1].removeprefix("file:")
+    assert os.path.isdir(path) and remove_staged(spark, before) == 1
+    assert not os.path.exists(path) and len(staged_tables()) == before
+
+
 def test_yaml_documents_have_the_given_length(spark):
     path = new_shared_path(spark, "yaml-length")
     entries = spark.range(25).select("id", F.concat(F.lit("- member_id: "), F.col("id").cast("string")).alias("entry"))
