@@ -38,6 +38,7 @@ LETTERS = "abcdefghijklmnop"
 MIN_CHARS_JUDGED, MIN_WORDS_JUDGED, MIN_REFERENCE_WORDS = 200, 60, 5_000
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, WORD_SCATTER = 0.30, 0.24, 1.6
 
+# The cells of both histograms, in order.
 CLASS_COLUMNS = [*(f"c_{name}" for name in CLASSES), "c_rest"]
 WORD_COLUMNS = [*(f"w_{k}" for k in range(COMMON_WORDS)), "w_rest"]
 
@@ -115,51 +116,61 @@ def common_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def histograms(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """Columns ``keep``, _lang, base counts and both histograms of every row, written once."""
+    """Columns ``keep``, _lang, base counts and both histograms (_classes, _common) of every row, written once."""
     common = stage(common_words(docs, text), "common-words")
     rows = base_features(docs, keep, text).join(broadcast_if_small(common), "_lang", "left")
     letter = f"get(split('{LETTERS}', ''), cast(array_position(_common, lower(w)) as int) - 1)"
     spelled = F.expr(f"array_join(transform(filter(_words, w -> length(w) <= {COMMON_CHARS}), w -> {letter}), '')")
     rows = rows.withColumn("_spelled", F.coalesce(spelled, F.lit("")))
-    classes = {f"c_{name}": _count(pattern) for name, pattern in CLASSES.items()}
-    rows = rows.select("*", *[c.alias(name) for name, c in classes.items()])
-    taken = [F.length("_spelled") - F.length(F.replace("_spelled", F.lit(x))) for x in LETTERS]
-    rest = F.col("word_chars") - sum((F.col(name) for name in classes), F.lit(0))
+    classes = F.array(*[_count(pattern) for pattern in CLASSES.values()])
+    taken = F.array(*[(F.length("_spelled") - F.length(F.replace("_spelled", F.lit(x)))).cast("long") for x in LETTERS])
+    rows = rows.withColumns({"_classes": classes, "_common": taken})
+    rest = F.col("word_chars") - F.aggregate("_classes", F.lit(0).cast("long"), lambda n, x: n + x)
     rows = rows.withColumns(
-        {"c_rest": rest}
-        | {f"w_{k}": n.cast("long") for k, n in enumerate(taken)}
-        | {"w_rest": F.col("n_words") - F.length("_spelled")}
+        {
+            "_classes": F.concat("_classes", F.array(rest)),
+            "_common": F.concat("_common", F.array(F.col("n_words") - F.length("_spelled"))),
+        }
+    )
+    return stage(rows.drop("_t", "_words", "_spelled"), "histograms")
+
+
+def language_references(rows: DataFrame) -> DataFrame:
+    """(_lang, _class_share, _word_share, _reference_words): the histograms of whole languages, as shares."""
+    sums = {
+        name: F.array(*[F.sum(F.get(name, F.lit(k))) for k in range(cells)])
+        for name, cells in (("_classes", len(CLASS_COLUMNS)), ("_common", len(WORD_COLUMNS)))
+    }
+    total = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda n, x: n + x)
+    totals = rows.groupBy("_lang").agg(*[c.alias(name) for name, c in sums.items()])
+    totals = totals.withColumns({"_chars": total("_classes"), "_reference_words": total("_common")})
+    return totals.select(
+        "_lang",
+        F.transform("_classes", lambda x: x / F.greatest(F.col("_chars"), F.lit(1))).alias("_class_share"),
+        F.transform("_common", lambda x: x / F.greatest(F.col("_reference_words"), F.lit(1))).alias("_word_share"),
+        "_reference_words",
     )
-    return stage(rows.drop("_t", "_words", "_common", "_spelled"), "histograms")
 
 
-def _distance(names: list[str], own_total: Column, reference_total: Column) -> Column:
-    """Jensen-Shannon distance of a row's histogram and its language's (columns r_...)."""
+def _distance(counts: str, total: str, reference: str) -> Column:
+    """Jensen-Shannon distance of a row's histogram and its language's shares."""
 
-    def part(x: Column, y: Column) -> Column:
-        return F.when(x > 0, x * F.log2(x / ((x + y) / 2))).otherwise(F.lit(0.0))
+    def cell(p: Column, q: Column) -> Column:
+        part = lambda x, y: F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(F.lit(0.0))
+        return part(p, q) + part(q, p)
 
-    total = F.lit(0.0)
-    for name in names:
-        p, q = F.col(name) / own_total, F.col(f"r_{name}") / reference_total
-        total = total + part(p, q) + part(q, p)
-    return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
+    own = F.transform(counts, lambda n: n / F.col(total))
+    divergence = F.aggregate(F.zip_with(own, reference, cell), F.lit(0.0), lambda sum, x: sum + x) / 2
+    return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
 def judged(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """Columns ``keep``, base counts, base_failed, both distances (null: not judged) and kept."""
+    """Columns ``keep``, base counts, base_failed, kept and both distances (null: not judged)."""
     rows = histograms(docs, keep, text)
-    references = rows.groupBy("_lang").agg(*[F.sum(name).alias(f"r_{name}") for name in CLASS_COLUMNS + WORD_COLUMNS])
-    rows = rows.join(broadcast_if_small(stage(references, "language-references")), "_lang", "left")
-    reference_words = sum((F.col(f"r_{n}") for n in WORD_COLUMNS), F.lit(0))
-    reference_chars = sum((F.col(f"r_{n}") for n in CLASS_COLUMNS), F.lit(0))
-    known = reference_words >= MIN_REFERENCE_WORDS
-    by_class = F.when(
-        known & (F.col("word_chars") >= MIN_CHARS_JUDGED), _distance(CLASS_COLUMNS, F.col("word_chars"), reference_chars)
-    )
-    by_word = F.when(
-        known & (F.col("n_words") >= MIN_WORDS_JUDGED), _distance(WORD_COLUMNS, F.col("n_words"), reference_words)
-    )
+    rows = rows.join(broadcast_if_small(stage(language_references(rows), "language-references")), "_lang", "left")
+    known = F.col("_reference_words") >= MIN_REFERENCE_WORDS
+    by_class = F.when(known & (F.col("word_chars") >= MIN_CHARS_JUDGED), _distance("_classes", "word_chars", "_class_share"))
+    by_word = F.when(known & (F.col("n_words") >= MIN_WORDS_JUDGED), _distance("_common", "n_words", "_word_share"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = rows.withColumns({"base_failed": failed, "class_distance": by_class, "word_distance": by_word})
     scatter = MAX_WORD_DISTANCE + WORD_SCATTER / F.sqrt(F.greatest("n_words", F.lit(1)))
