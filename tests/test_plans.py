@@ -87,3 +87,14 @@ def test_listing_breaks_ties(spark):
 
     df = spark.range(200).select("id", F.lit(1.0).alias("per_head"))
     assert [r.id for r in wealth_listing(df).collect()] == [r.id for r in wealth_listing(df.repartition(7)).collect()]
+
+
+def test_equal_rows_spread_over_ranges(spark):
+    from meldspark.session import staged_tables
+    from meldspark.sources.numbering import number_in_order
+
+    df = spark.range(5000).select(F.lit("same").alias("k")).repartition(5)
+    before = len(staged_tables())
+    assert sorted(r.n for r in number_in_order(df, ["k"], "n").collect()) == list(range(1, 5001))
+    parts = spark.read.parquet(staged_tables()[before]).groupBy("_split").count().collect()
+    assert len(parts) > 3 and max(r["count"] for r in parts) < 2500
