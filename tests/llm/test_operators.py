@@ -384,6 +384,21 @@ def test_pii_terms_that_reveal_an_entity(spark):
     assert clean[5] == rows[5][1]
 
 
+def test_pii_terms_are_marked_at_every_place(spark):
+    far = "one of many plain words, " * 8
+    rows = [(k, f"one of many plain words, number{k}") for k in range(60)]
+    rows += [(100 + k, f"Zorblatt {far}filler{k} zorblatt writes{k} as z@q.example then{k}") for k in range(3)]
+    rows += [(110, f"ZORBLATT {far}z@q.example"), (111, f"Of Zorblatt, {far}no mails. Zorblatts 9zorblatt"), (112, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii_spans(docs).collect()}
+    for i, text in rows[60:]:
+        places = [m.span() for m in re.finditer(r"[^\W\d_]\w{2,}", text or "") if m[0].lower() == "zorblatt"]
+        assert [s for s in found[i].split(",") if s.startswith("term:")] == [f"term:{a}:{b}" for a, b in places]
+    clean = {r.doc_id: r.text for r in sanitised(docs).collect()}
+    assert clean[100].startswith("[TERM] one of") and "filler0 [TERM] writes0 as [EMAIL]" in clean[100]
+    assert clean[110].startswith("[TERM] one of") and clean[111].startswith("Of [TERM], one") and clean[112] is None
+
+
 def test_sanitised_keeps_rows_and_columns(odd):
     result = sanitised(odd)
     assert result.schema == odd.schema or result.columns == odd.columns
