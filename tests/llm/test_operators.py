@@ -399,6 +399,25 @@ def test_pii_terms_are_marked_at_every_place(spark):
     assert clean[110].startswith("[TERM] one of") and clean[111].startswith("Of [TERM], one") and clean[112] is None
 
 
+def test_pii_terms_need_two_independent_texts(spark):
+    far = "one of many plain words, " * 8
+    rows = [f"one of many plain words, number{k}" for k in range(40)]
+    rows += ["Zorblatt writes0 as z@q.example then0", "later1 z@q.example is Zorblatt with1"]  # beside in both texts
+    rows += [f"Truffula says2 t@q.example to2 {far}", f"Truffula {far}words3 t@q.example to3"]  # far away in one
+    rows += [f"Onceler mailed o@q.example as ever {far}{x}" for x in ("near4", "near5", "near5")]  # copies and near copies
+    rows += ["Lorax and6 l@q.example or7 l@q.example Lorax"]  # twice in one text
+    rows += ["Sneetch has8 s@q.example now8", "some9 s@q.example Sneetch now9"] + ["the Sneetch elsewhere"] * 3
+    rows += ["a0 Grinch has0 g@q.example n0", "some1 g@q.example Grinch n1"] + [f"Grinch not here{k}" for k in range(9)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {}
+    for r in pii_spans(docs).collect():
+        places = [s.split(":")[1:] for s in r.spans.split(",") if s.startswith("term:")]
+        found[r.doc_id] = [rows[r.doc_id][int(a) : int(b)] for a, b in places]
+    assert found[40] == found[41] == ["Zorblatt"] and found[42] == found[43] == ["Truffula"]
+    assert all(not found[k] for k in [*range(40), 44, 45, 46, 47, *range(53, 64)])
+    assert [found[k] for k in range(48, 53)] == [[]] * 5  # copies elsewhere are one text, but two of three is too little
+
+
 def test_sanitised_keeps_rows_and_columns(odd):
     result = sanitised(odd)
     assert result.schema == odd.schema or result.columns == odd.columns
