@@ -80,3 +80,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   round(by_class, 6) AS class_distance, round(by_word, 6) AS word_distance
 FROM measured
 """
+
+
+# crc32 of a decimal number, bit by bit; 3988292384 is the reversed polynomial.
+CRC32 = """
+xor(list_reduce(
+    [4294967295::BIGINT] || list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i::INT, 1))::BIGINT),
+    lambda crc, byte: list_reduce(
+        [xor(crc, byte)] || list_transform(range(8), lambda i: 0::BIGINT),
+        lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+    )
+), 4294967295::BIGINT)
+"""
+
+CONVERSATION_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS size,
+        substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS digest
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+    SELECT conv_id AS c, list({{'digest': digest, 'size': size}} ORDER BY turn NULLS FIRST, digest) AS turns FROM turns GROUP BY conv_id
+),
+lengths AS (SELECT c, turns, {CRC32} % 9 AS h FROM own),
+paths AS (
+    SELECT l.c, coalesce(list_slice(f.turns, 1, l.h), []) || list_slice(l.turns, l.h + 1, len(l.turns)) AS turns
+    FROM lengths l LEFT JOIN own f ON f.c = l.c - l.c % 5
+),
+members AS (
+    SELECT c, d, list_transform(list_slice(turns, 1, d), lambda t: t.digest) AS node,
+        CASE WHEN d = 0 THEN 0 ELSE turns[d].size END AS size, d = len(turns) AS ends
+    FROM (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM paths)
+),
+nodes AS (
+    SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY node, d
+),
+children AS (SELECT list_slice(node, 1, d - 1) AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+subtrees AS (
+    SELECT list_slice(u.node, 1, u.a) AS node, sum(u.saved) AS saved, count(*) FILTER (u.n IS NULL) AS leaves
+    FROM (
+        SELECT nodes.node, nodes.saved, children.n, unnest(range(d + 1)) AS a
+        FROM nodes LEFT JOIN children ON nodes.node = children.node
+    ) u GROUP BY ALL
+)
+SELECT v.conv_id, v.d::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+    t.leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens, v.ends_sha256
+FROM nodes v
+JOIN subtrees t ON t.node = v.node
+LEFT JOIN children k ON k.node = v.node
+LEFT JOIN nodes p ON v.d > 0 AND p.node = list_slice(v.node, 1, v.d - 1)
+"""

@@ -18,6 +18,9 @@ from meldspark.llm.op07_html import extract_text
 from meldspark.llm.op08_decontamination import contaminated_documents
 from meldspark.llm.op09_sharding import shards
 from meldspark.llm.op10_token_counts import token_counts
+from meldspark.llm.op11_chunk_bpe import byte_bpe_digests
+from meldspark.llm.op12_prefix_trie import conversation_trie
+from meldspark.llm.op13_periodic_runs import run_digests, with_planted_runs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,9 +47,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op9_sharding": lambda spark, sf_dir: shards(documents(spark, sf_dir)),
     "op10_token_counts": lambda spark, sf_dir: token_counts(documents(spark, sf_dir)),
+    "op11_chunk_bpe": lambda spark, sf_dir: byte_bpe_digests(documents(spark, sf_dir)),
+    "op12_prefix_trie": lambda spark, sf_dir: conversation_trie(table(spark, sf_dir, "conversations")),
+    "op13_periodic_runs": lambda spark, sf_dir: run_digests(with_planted_runs(documents(spark, sf_dir))),
 }
 
 ORACLES: dict[str, str] = {
     "op4_quality_rules": oracles.quality_sql(),
     "op8_decontamination": oracles.DECONTAMINATION,
+    "op12_prefix_trie": oracles.CONVERSATION_TRIE,
 }
