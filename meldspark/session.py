@@ -71,19 +71,40 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as it is partitioned, for a second pass that needs the same rows in the same partitions and
+    in the partitions' order, which a staged table does not keep. Its files count as a staged table."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    shared_dir(spark)
+    before = context.getCheckpointDir()
+    path = new_shared_path(spark, label)
+    _staged.append(path)
+    context.setCheckpointDir(path)
+    try:
+        return df.checkpoint()
+    finally:
+        if before:
+            context.setCheckpointDir(before.rstrip("/").rsplit("/", 1)[0])  # the context adds a folder of its own
+
+
 def staged_tables() -> list[str]:
     """Paths of the tables staged by this driver and not yet removed, in order."""
     return list(_staged)
 
 
-def remove_staged(spark: SparkSession, since: int = 0) -> int:
-    """Deletes the tables staged by this driver (from number ``since`` on) and returns how many. For the end of a run:
-    results that still read them can't be computed any more."""
-    paths = _staged[since:]
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_staged(spark: SparkSession, since: int = 0, keep_last: bool = False) -> int:
+    """Deletes the tables staged by this driver (from number ``since`` on, the newest one excepted if ``keep_last``) and
+    returns how many. For the end of a run: results that still read them can't be computed any more."""
+    paths = _staged[since:-1] if keep_last else _staged[since:]
     for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    del _staged[since:]
+        delete_path(spark, path)
+        _staged.remove(path)
     return len(paths)
 
 

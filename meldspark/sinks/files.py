@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meldspark.sources.numbering import number_in_order
+from meldspark.session import checkpointed
+from meldspark.sources.numbering import with_range_places, written_with_numbers
 
 
 def write_parquet(df: DataFrame, path: str | None) -> bool:
@@ -53,15 +54,12 @@ def write_yaml_stream(
 ) -> None:
     """Text entries as a stream of documents with ``per_document`` list entries each, in the given order.
 
-    Rows are numbered without a single-task sort, and a document never spreads over two files.
+    One range shuffle sorts the entries; they are counted while the sorted ranges are written for the second pass,
+    which only puts the borders in. The files in the order of their names are the stream: a document that is not full
+    at the end of a file goes on in the next one, and each file is a valid stream by itself.
     """
-    numbered = number_in_order(df.select(*dict.fromkeys([*order, entry])), order, "_n")
+    placed = with_range_places(df.select(*dict.fromkeys([*order, entry])), order)
+    numbered = written_with_numbers(placed, lambda rows: checkpointed(rows, "yaml-ranges"), "_n")
     head = F.when(F.col("_n") == 1, F.lit(f"# {title}\n")).otherwise("") if title else F.lit("")
     opening = F.when((F.col("_n") - 1) % per_document == 0, F.concat(head, F.lit("---\n"))).otherwise("")
-    (
-        numbered.withColumn("_document", F.floor((F.col("_n") - 1) / per_document))
-        .repartitionByRange("_document")
-        .sortWithinPartitions("_n")
-        .select(F.concat(opening, F.col(entry)).alias("line"))
-        .write.text(path)
-    )
+    numbered.select(F.concat(opening, F.col(entry)).alias("line")).write.text(path)

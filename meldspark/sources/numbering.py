@@ -9,9 +9,9 @@ is broadcast up to ``MAX_SPLITS`` of them, which at 128 MB a split is half a pet
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -75,18 +75,44 @@ def number_source_rows(positioned: DataFrame, name: str = "source_row") -> DataF
     return add_numbers(staged, stage(split_shifts(staged), f"{name}-splits"), name)
 
 
-def number_in_order(df: DataFrame, order: Sequence[str | Column], name: str = "id") -> DataFrame:
-    """Surrogate key 1..n in the given order: a range shuffle and running totals, no single-task sort.
+def with_range_places(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """``df`` in the given order, with the range (``SPLIT``) and the place in it of every row.
 
     Rows that tie are ordered by a hash of the whole row, so a frequent value of the order columns still spreads over
-    several ranges and the numbers do not depend on the partitioning. Fully equal rows, for which any order is
-    the same, are spread by where they were read.
+    several ranges. Fully equal rows, for which any order is the same, are spread by where they were read.
     """
-    ordered = (
+    return (
         df.withColumn(PLACE, F.monotonically_increasing_id())
         .orderBy(*order, F.xxhash64(*df.columns), PLACE)
-        .withColumn(FILE, F.lit(""))
         .withColumn(SPLIT, F.spark_partition_id().cast("long"))
         .withColumn(PLACE, F.monotonically_increasing_id())
     )
-    return number_source_rows(ordered, name)
+
+
+def written_with_numbers(placed: DataFrame, write: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Writes the result of ``with_range_places`` by ``write`` and replaces the places in what it returns by numbers.
+
+    The rows of each range are counted while they are written: a histogram that has room for every range counts exactly,
+    and has one entry per range. So neither the data nor what was written is read again for it.
+    """
+    spark = placed.sparkSession
+    room = int(spark.conf.get("spark.sql.shuffle.partitions")) + 2
+    totals = Observation()
+    sizes = F.histogram_numeric(SPLIT, F.lit(room)).alias("sizes")
+    written = write(placed.observe(totals, sizes, F.count(F.lit(1)).alias("rows")))
+    counted = sorted((int(r["x"]), int(r["y"])) for r in totals.get["sizes"] or ())
+    if len(counted) >= room or sum(rows for _, rows in counted) != totals.get["rows"]:
+        raise RuntimeError("the written ranges were not counted exactly")
+    shifts, number = [], 1
+    for split, rows in counted:
+        shifts.append((split, number - (split << 33)))  # places in partition p begin at p * 2**33
+        number += rows
+    lookup = F.broadcast(spark.createDataFrame(shifts, "_key long, _shift long"))  # one row per range
+    numbered = written.join(lookup, F.col(SPLIT) == F.col("_key"))
+    return numbered.withColumn(name, F.col(PLACE) + F.col("_shift")).drop(SPLIT, PLACE, "_key", "_shift")
+
+
+def number_in_order(df: DataFrame, order: Sequence[str | Column], name: str = "id") -> DataFrame:
+    """Surrogate key 1..n in the given order: a range shuffle and running totals, no single-task sort. The numbers do not
+    depend on the partitioning."""
+    return written_with_numbers(with_range_places(df, order), lambda placed: stage(placed, name), name)

@@ -89,7 +89,15 @@ def test_listing_breaks_ties(spark):
     assert [r.id for r in wealth_listing(df).collect()] == [r.id for r in wealth_listing(df.repartition(7)).collect()]
 
 
-def test_equal_rows_spread_over_ranges(spark):
+@pytest.fixture
+def no_coalescing(spark):
+    """Ranges as the cluster would have them: small ones are not put together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_equal_rows_spread_over_ranges(spark, no_coalescing):
     from meldspark.session import staged_tables
     from meldspark.sources.numbering import number_in_order
 
@@ -98,3 +106,46 @@ def test_equal_rows_spread_over_ranges(spark):
     assert sorted(r.n for r in number_in_order(df, ["k"], "n").collect()) == list(range(1, 5001))
     parts = spark.read.parquet(staged_tables()[before]).groupBy("_split").count().collect()
     assert len(parts) > 3 and max(r["count"] for r in parts) < 2500
+
+
+def test_numbers_come_from_totals_taken_while_writing(spark, no_coalescing):
+    """One table is staged and only the rows themselves are read from it; no table of splits, no second scan."""
+    from meldspark.session import staged_tables
+    from meldspark.sources.numbering import number_in_order
+
+    before = len(staged_tables())
+    numbered = number_in_order(spark.range(3000).repartition(7), [F.desc("id")], "n")
+    tree = explained(numbered).split("\n\n")[0]
+    assert len(staged_tables()) == before + 1 and tree.count("Scan parquet") == 1 and "hashpartitioning" not in tree
+    assert all(r.n == 3000 - r.id for r in numbered.collect())
+    assert number_in_order(spark.range(0), ["id"], "n").count() == 0
+
+
+def test_yaml_stream_takes_one_range_shuffle(spark, no_coalescing, monkeypatch):
+    """Document borders over several files come from the totals, and the files in order are the stream."""
+    import os
+
+    from meldspark.session import new_shared_path, remove_staged, staged_tables
+    from meldspark.sinks.files import write_yaml_stream
+    from meldspark.sources import numbering
+    from meldspark.sources.yaml_stream import read_yaml_stream
+
+    plans = []
+    real = numbering.with_range_places
+    import meldspark.sinks.files as files
+
+    monkeypatch.setattr(files, "with_range_places", lambda *a: plans.append(real(*a)) or plans[-1])
+    ids = spark.range(1000).repartition(6)
+    entries = ids.select("id", F.concat(F.lit("- id: "), F.col("id").cast("string")).alias("entry"))
+    before = len(staged_tables())
+    path = new_shared_path(spark, "yaml-ranges-test")
+    write_yaml_stream(entries, path, "entry", ["id"], per_document=64, title="T")
+    assert explained(plans[0]).split("\n\n")[0].count("Exchange") == 2  # the input's own and one for the order
+    folder = path.removeprefix("file:")
+    parts = sorted(p for p in os.listdir(folder) if p.startswith("part-"))
+    text = "".join(open(os.path.join(folder, p)).read() for p in parts)
+    expected = "# T\n" + "".join(f"---\n- id: {i}\n" if i % 64 == 0 else f"- id: {i}\n" for i in range(1000))
+    assert len(parts) > 3 and text == expected
+    rows = read_yaml_stream(spark, path, "id long", numbered=True).collect()
+    assert sorted((r.source_row, r.id) for r in rows) == [(i + 1, i) for i in range(1000)]
+    assert remove_staged(spark, before) > 0 and len(staged_tables()) == before
