@@ -1,11 +1,16 @@
-"""Key, reference, range and length checks. Each returns only the offending keys with their row counts."""
+"""Key, reference, range and length checks. Each returns only the offending keys with their row counts.
+
+``column_findings`` takes all checks of a table that need nothing but its own columns in one scan; keys and references
+need a shuffle of their own.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,14 +51,51 @@ def too_long(df: DataFrame, column: str, limit: int) -> DataFrame:
     return df.filter(F.length(column) > limit).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def violation_report(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """All findings as (check, key, rows); composite keys are joined by a comma."""
-    parts = [
-        found.select(
+class ColumnCheck(NamedTuple):
+    """What is wrong with a row, and the key under which the finding is counted."""
+
+    broken: Column
+    key: Column
+
+
+def required(*columns: str) -> list[ColumnCheck]:
+    """NULLs, counted by column name."""
+    return [ColumnCheck(F.col(c).isNull(), F.lit(c)) for c in columns]
+
+
+def in_range(column: str, precision: int, scale: int) -> list[ColumnCheck]:
+    """Values that do not fit decimal(precision, scale), counted by value."""
+    fits = F.col(column).try_cast(f"decimal({precision},{scale})").isNotNull()
+    return [ColumnCheck(F.col(column).isNotNull() & ~fits, F.col(column).cast("string"))]
+
+
+def not_longer(column: str, limit: int) -> list[ColumnCheck]:
+    """Texts longer than ``limit`` characters, counted by text."""
+    return [ColumnCheck(F.coalesce(F.length(column) > limit, F.lit(False)), F.col(column).cast("string"))]
+
+
+def column_findings(df: DataFrame, checks: Mapping[str, Sequence[ColumnCheck]]) -> DataFrame:
+    """(check, key, rows) of all ``checks`` (name -> from ``required``, ``in_range``, ``not_longer``), from one scan.
+
+    Sound rows are filtered out first, so that only findings are built and shuffled, and those are counted before.
+    """
+    flat = [(name, check) for name, several in checks.items() for check in several]
+    finding = [F.when(c.broken, F.struct(F.lit(name).alias("check"), c.key.alias("key"))) for name, c in flat]
+    broken = df.filter(reduce(lambda a, b: a | b, [c.broken for _, c in flat]))
+    found = broken.select(F.explode(F.array(*finding)).alias("f")).filter("f IS NOT NULL")
+    return found.groupBy("f.check", "f.key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def violation_report(checks: Mapping[str, DataFrame], *found: DataFrame) -> DataFrame:
+    """All findings as (check, key, rows); composite keys are joined by a comma. ``found`` are reports already, as
+    from ``column_findings``."""
+    parts = [*found]
+    parts += [
+        offending.select(
             F.lit(name).alias("check"),
-            F.concat_ws(",", *[F.col(c).cast("string") for c in found.columns if c != "rows"]).alias("key"),
+            F.concat_ws(",", *[F.col(c).cast("string") for c in offending.columns if c != "rows"]).alias("key"),
             F.col("rows").cast("long").alias("rows"),
         )
-        for name, found in checks.items()
+        for name, offending in checks.items()
     ]
     return reduce(DataFrame.unionByName, parts)

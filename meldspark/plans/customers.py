@@ -204,14 +204,21 @@ def constraint_violations(tables) -> DataFrame:
     return integrity.violation_report(
         {
             "country key": integrity.duplicate_keys(country, ["code"]),
-            "country required": integrity.null_counts(country, ["code", "name"]),
-            "country code length": integrity.too_long(country, "code", 2),
             "customer key": integrity.duplicate_keys(customer, ["customer_id"]),
-            "customer required": integrity.null_counts(customer, REQUIRED_CUSTOMER_COLUMNS),
             "customer country": integrity.orphans(customer, "country_code", country, "code"),
-            "customer country length": integrity.too_long(customer, "country_code", 2),
-            "rejected required": integrity.null_counts(rejected, ["source", "source_row", "reason"]),
-        }
+        },
+        integrity.column_findings(
+            country,
+            {"country required": integrity.required("code", "name"), "country code length": integrity.not_longer("code", 2)},
+        ),
+        integrity.column_findings(
+            customer,
+            {
+                "customer required": integrity.required(*REQUIRED_CUSTOMER_COLUMNS),
+                "customer country length": integrity.not_longer("country_code", 2),
+            },
+        ),
+        integrity.column_findings(rejected, {"rejected required": integrity.required("source", "source_row", "reason")}),
     )
 
 

@@ -228,21 +228,32 @@ def surrogate_keys(spark, sf_dir):
     UNION ALL SELECT 'error value', 'value_of_error', count(*) FROM events WHERE event_type <> 'error'
     UNION ALL SELECT 'price range', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR), count(*) FROM lineitem
       WHERE l_extendedprice >= 99999.995 GROUP BY 2
+    UNION ALL SELECT 'line required', 'l_orderkey', count(*) FROM lineitem WHERE l_orderkey IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'line required', 'price', count(*) FROM lineitem WHERE l_extendedprice IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'part required', 'p_name', count(*) FROM part WHERE p_name IS NULL HAVING count(*) > 0
     UNION ALL SELECT 'name length', p_name, count(*) FROM part WHERE length(p_name) > 10 GROUP BY p_name
 """)
 def integrity_report(spark, sf_dir):
-    """J1-J5 JN4: duplicate keys, NULLs, orphans, ranges and lengths as one report."""
+    """J1-J5 JN4: duplicate keys, NULLs, orphans, ranges and lengths as one report; the column checks of a table in one scan."""
     read = lambda name: table(spark, sf_dir, name)
-    errors = read("events").select(F.when(F.col("event_type") == "error", F.col("value")).alias("value_of_error"))
-    prices = read("lineitem").select(F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
+    error_value = F.when(F.col("event_type") == "error", F.col("value"))
+    events = read("events").select("user_id", error_value.alias("value_of_error"))
+    lines = read("lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(12,2)").alias("price")
+    )
+    parts = read("part").select("p_name")
     return integrity.violation_report(
         {
-            "line key": integrity.duplicate_keys(read("lineitem"), ["l_orderkey", "l_linenumber"]),
+            "line key": integrity.duplicate_keys(lines, ["l_orderkey", "l_linenumber"]),
             "order key": integrity.duplicate_keys(read("orders"), ["o_orderkey"]),
-            "event user": integrity.orphans(read("events"), "user_id", read("supplier"), "s_suppkey"),
+            "event user": integrity.orphans(events, "user_id", read("supplier"), "s_suppkey"),
             "order customer": integrity.orphans(read("orders"), "o_custkey", read("customer"), "c_custkey"),
-            "error value": integrity.null_counts(errors, ["value_of_error"]),
-            "price range": integrity.out_of_range(prices, "price", 7, 2),
-            "name length": integrity.too_long(read("part"), "p_name", 10),
-        }
+        },
+        integrity.column_findings(events, {"error value": integrity.required("value_of_error")}),
+        integrity.column_findings(
+            lines, {"line required": integrity.required("l_orderkey", "price"), "price range": integrity.in_range("price", 7, 2)}
+        ),
+        integrity.column_findings(
+            parts, {"part required": integrity.required("p_name"), "name length": integrity.not_longer("p_name", 10)}
+        ),
     )

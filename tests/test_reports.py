@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from meldspark.operators import integrity
 from meldspark.operators.grouping import count_where, text_by_group, word_counts
 from meldspark.plans import analytics
 from meldspark.plans.person_tax import REPORT_TYPES, JdbcSplit, RepeatedPerson, person_tax_report, run_person_tax
@@ -184,3 +185,53 @@ def test_both_ways_give_the_same_groups(spark, max_text):
     for r in sorted(text_by_group(df, ["k"], "v", ",", max_text=max_text).collect(), key=lambda r: r.part):
         found.setdefault((r.k, r.rows), []).append(r.text)
     assert {k: ",".join(v) for k, v in found.items()} == {(None, 3): "a,b", ("x", 2): "", ("n", 2): "q"}
+
+
+CELLS = [
+    ("a", 1.5, "x"), (None, 1.5, "y"), (None, None, "long text"), ("abc", 1e9, "long text"), ("b", 1e9, None), ("c", -2.0, ""),
+]
+
+
+@pytest.fixture
+def cells(spark):
+    return spark.createDataFrame(CELLS, "code string, amount double, note string").withColumn(
+        "amount", F.col("amount").cast("decimal(18,2)")
+    )
+
+
+def cell_checks():
+    return {
+        "required": integrity.required("code", "amount"),
+        "code": integrity.not_longer("code", 2),
+        "amount": integrity.in_range("amount", 7, 2),
+        "note": integrity.not_longer("note", 4),
+    }
+
+
+def test_fused_column_checks_find_what_single_ones_find(cells):
+    single = {
+        "required": integrity.null_counts(cells, ["code", "amount"]),
+        "code": integrity.too_long(cells, "code", 2),
+        "amount": integrity.out_of_range(cells, "amount", 7, 2),
+        "note": integrity.too_long(cells, "note", 4),
+    }
+    found = sorted(map(tuple, integrity.column_findings(cells, cell_checks()).collect()))
+    assert found == sorted(map(tuple, integrity.violation_report(single).collect()))
+    assert found == [
+        ("amount", "1000000000.00", 2), ("code", "abc", 1), ("note", "long text", 2), ("required", "amount", 1), ("required", "code", 2),
+    ]
+    assert integrity.column_findings(cells.filter("false"), cell_checks()).count() == 0
+
+
+def test_fused_column_checks_scan_once(spark):
+    import contextlib
+    import io
+
+    import __spark_entry__ as spark_entry
+
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        spark_entry.queries()["integrity_report"](spark, "/root/testdata/sf0.001").explain("formatted")
+    scans = [part for part in text.getvalue().split("\n\n") if "Scan parquet" in part and "lineitem" in part]
+    assert sum("l_extendedprice" in part for part in scans) == 1  # the columns' checks
+    assert sum("l_extendedprice" not in part for part in scans) == 1  # the key
