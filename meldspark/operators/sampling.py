@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meldspark.functions.draws import DRAW_BITS, draw
+from meldspark.functions.draws import draw
+
+FAN_IN = 256  # groups of tasks whose rows are reduced once more before the last step
+
+
+def _first_of_task(df: DataFrame, order: list[str | Column], size: int) -> DataFrame:
+    """The first ``size`` rows of every task: a local sort, no exchange."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return df.sortWithinPartitions(*order).filter(place < size)
 
 
 def fixed_sample(df: DataFrame, key: str, size: int, seed: int, purpose: str = "sample") -> DataFrame:
     """The ``size`` rows with the smallest seeded draws: a uniform sample that is equal on every run.
 
-    A plain top-k sends up to ``size`` rows per task to one place. Here rows above a draw that about
-    ``size`` rows stay below are dropped first, and the number that is left is counted: the k smallest draws are
-    then certainly among them. Rows without a key have no draw and are never sampled, whatever the table's size.
+    One pass over the rows. Every task keeps its own ``size`` smallest, groups of tasks reduce them to ``size`` again, and only
+    those meet in one place, so nothing has to be counted before and no place gets rows from every task. Rows
+    without a key have no draw and are never sampled, whatever the table's size.
     """
+    order: list[str | Column] = ["_draw", key]
     drawn = df.filter(F.col(key).isNotNull()).withColumn("_draw", draw(seed, purpose, F.col(key)))
-    total = drawn.count()
-    share = (size + 6 * math.sqrt(size) + 10) / max(total, 1)
-    while share < 1:
-        near = drawn.filter(F.col("_draw") < int(share * 2**DRAW_BITS))
-        if near.count() >= size:
-            drawn = near
-            break
-        share *= 2
-    return drawn.orderBy("_draw", key).limit(size).drop("_draw")
+    nearest = _first_of_task(drawn, order, size).withColumn("_group", F.spark_partition_id() % FAN_IN)
+    nearest = _first_of_task(nearest.repartition("_group"), order, size)
+    return nearest.orderBy(*order).limit(size).drop("_draw", "_group")

@@ -1,18 +1,21 @@
 """Reader for multi-document YAML streams whose documents are lists of maps.
 
-The text is split where a new list entry begins (a dash at the start of a line, behind as many blanks as the first
-entry has), so a file splits into many tasks and a document of any length never has to fit into one of them. Entries
-in the plainest form become JSON text by built-in functions. Each task hands all others, batch by batch and rejoined
+The text is split where a new list entry begins (a dash at the start of a line, behind as many blanks as the file's first
+entry has), so a file splits into many tasks and a document of any length never has to fit into one of them. Files of a
+folder are grouped by that indent, and each group is cut at its own. Entries in the plainest form become JSON text by built-in functions. Each task hands all others, batch by batch and rejoined
 into a valid stream, to the YAML loader. Spark's JSON reader then gives the entries their declared, nested schema.
 Anchors must not reach from one entry into another.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meldspark.sources.heads import files_by_head
 from meldspark.sources.numbering import FILE, PLACE, SPLIT, number_source_rows, with_file_position, with_place
 
 # A key that isn't read as a truth value, and a value that reads the same as YAML and JSON: quoted text without escapes,
@@ -73,17 +76,20 @@ def _entry_parser(indent: str = ""):
     return parse
 
 
-def list_indent(spark: SparkSession, path: str) -> str:
-    """The blanks before the first list entry below ``path``; reads no further than that entry."""
-    found = spark.read.text(path).filter(F.col("value").rlike("^ *- ")).first()
-    return found[0][: found[0].index("-")] if found else ""
+def files_by_indent(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(blanks before a list entry, paths to read) of every group of files; none for a path without entries. A file is
+    read no further than its first entry."""
+    if len(spark.read.text(path).inputFiles()) == 1:
+        found = spark.read.text(path).filter(F.col("value").rlike("^ *- ")).first()
+        return [(found[0][: found[0].index("-")], [path])] if found else []
+    groups = files_by_head(spark, path, "^ *- ", F.regexp_extract("value", "^( *)- ", 1))
+    return [(groups[0][0], [path])] if len(groups) == 1 else groups
 
 
-def entry_chunks(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
-    """(value, _json, file, split) of every entry, and the indent; the first text of a file may have a head instead."""
-    indent = list_indent(spark, path)
-    chunks = with_file_position(spark.read.option("lineSep", f"\n{indent}- ").text(path)).drop(PLACE)
-    return chunks.withColumn("_json", plain_json(F.col("value"), indent)), indent
+def entry_chunks(spark: SparkSession, paths: str | list[str], indent: str) -> DataFrame:
+    """(value, _json, file, split) of every entry; the first text of a file may have a head instead."""
+    chunks = with_file_position(spark.read.option("lineSep", f"\n{indent}- ").text(paths)).drop(PLACE)
+    return chunks.withColumn("_json", plain_json(F.col("value"), indent))
 
 
 def read_yaml_stream(
@@ -91,8 +97,12 @@ def read_yaml_stream(
 ) -> DataFrame:
     """Every list entry as one row of ``schema``; a missing nested map gives NULL fields. ``numbered`` adds
     ``source_row``, ``positioned`` the position columns instead."""
-    chunks, indent = entry_chunks(spark, path)
-    entries = chunks.mapInPandas(_entry_parser(indent), f"entry string, {FILE} string, {SPLIT} long")
+    columns = f"entry string, {FILE} string, {SPLIT} long"
+    parts = [
+        entry_chunks(spark, paths, indent).mapInPandas(_entry_parser(indent), columns)
+        for indent, paths in files_by_indent(spark, path) or [("", [path])]
+    ]
+    entries = reduce(DataFrame.unionByName, parts)
     parsed = entries.select(
         F.from_json("entry", schema, {"mode": "FAILFAST"}).alias("row"), FILE, SPLIT
     ).select("row.*", FILE, SPLIT)

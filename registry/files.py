@@ -50,6 +50,20 @@ def csv_long_texts(spark, sf_dir):
     return read_delimited(spark, path, rows.columns, multi_line=True)
 
 
+@query("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders
+""")
+def csv_other_headers(spark, sf_dir):
+    """S4 with files of different headers in one folder: three column orders, one with a further column."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    path = new_shared_path(spark, "csv-headers")
+    columns = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    for number, order in enumerate((columns, columns[::-1], ["o_orderstatus", "o_orderkey", "o_custkey", "o_orderpriority"])):
+        part = orders.filter(F.crc32(F.col("o_orderkey").cast("binary")) % 3 == number)
+        write_delimited(part, f"{path}/{number}", order, sep=";", header=True)
+    return read_delimited(spark, f"{path}/*", columns)
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(o_custkey AS VARCHAR) AS customer, o_orderpriority AS priority FROM orders")
 def csv_headerless(spark, sf_dir):
     """K3: chosen columns without a header, as for a bulk load."""
@@ -98,6 +112,22 @@ def yaml_roundtrip(spark, sf_dir):
     return read.select("source_row", F.col("conv").alias("conv_id"), "said.role", "said.text")
 
 
+@query("""
+    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer
+""")
+def yaml_other_indents(spark, sf_dir):
+    """S6 with files of different indents in one folder, each cut at its own."""
+    customers = table(spark, sf_dir, "customer")
+    path = new_shared_path(spark, "yaml-indents")
+    for number, indent in enumerate(("", "  ", "    ")):
+        fields = [F.lit(f"{indent}- key: "), F.col("c_custkey").cast("string"), F.lit(f"\n{indent}  of:\n{indent}    name: ")]
+        fields += [json_quoted("c_name"), F.lit(f"\n{indent}    segment: "), json_quoted("c_mktsegment")]
+        part = customers.filter(F.col("c_custkey") % 3 == number).select("c_custkey", F.concat(*fields).alias("entry"))
+        write_yaml_stream(part, f"{path}/{number}", "entry", ["c_custkey"], per_document=200)
+    read = read_yaml_stream(spark, f"{path}/*", "key string, of struct<name: string, segment: string>")
+    return read.select(F.col("key").alias("c_custkey"), F.col("of.name").alias("c_name"), F.col("of.segment").alias("c_mktsegment"))
+
+
 @query("SELECT * FROM part")
 def parquet_roundtrip(spark, sf_dir):
     """K2 S11"""

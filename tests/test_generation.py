@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from meldspark.functions.draws import draw
 from meldspark.operators.generate import DEFECTS, country_pools, synthetic_customers
 from meldspark.operators.sampling import fixed_sample
 from meldspark.plans.customers import (
@@ -104,3 +105,17 @@ def test_drawn_values_stay_in_their_ranges(spark):
     import re
 
     assert re.fullmatch("[A-Z]{2}[0-9] [0-9][A-Z]{2}", british)
+
+
+def test_fixed_sample_reads_once_and_counts_nothing(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sample", "plan only")
+    sample = fixed_sample(df, "o_orderkey", 50, 3)
+    assert not jobs.getJobIdsForGroup("sample")  # nothing runs while planning
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "rangepartitioning" not in plan
+    expected = sorted((r.d, r.o_orderkey) for r in df.select(draw(3, "sample", F.col("o_orderkey")).alias("d"), "o_orderkey").collect())[:50]
+    assert {r.o_orderkey for r in sample.collect()} == {key for _, key in expected}
+    spread = df.repartition(300)  # more tasks than groups
+    assert sorted(map(tuple, fixed_sample(spread, "o_orderkey", 50, 3).collect())) == sorted(map(tuple, sample.collect()))

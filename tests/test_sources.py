@@ -142,11 +142,12 @@ def test_yaml_entries_agree_with_the_loader(spark, per_document, indent):
 
 
 def test_indented_stream_falls_into_splits(spark, tmp_path, small_splits):
-    from meldspark.sources.yaml_stream import entry_chunks
+    from meldspark.sources.yaml_stream import entry_chunks, files_by_indent
 
     text = "---\n" + "".join(f'  - member_id: {i}\n    contact:\n      email: "x{i}"\n' for i in range(200))
     (tmp_path / "m.yml").write_text(text)
-    chunks, indent = entry_chunks(spark, str(tmp_path))
+    ((indent, paths),) = files_by_indent(spark, str(tmp_path))
+    chunks = entry_chunks(spark, paths, indent)
     filled = chunks.groupBy(F.spark_partition_id()).count().count()
     assert indent == "  " and filled > 8 and filled >= chunks.select("_split").distinct().count() - 1
     rows = read_yaml_stream(spark, str(tmp_path), YAML_SCHEMA, numbered=True).collect()
@@ -164,11 +165,60 @@ def test_columns_are_found_by_header(spark, tmp_path):
         read_delimited(spark, str(path), ["a", "d"])
 
 
-def test_files_with_other_headers_fail(spark, tmp_path):
+def test_files_are_read_by_their_own_headers(spark, tmp_path, small_splits):
+    """Three column orders in one folder, several splits each; names with blanks and pattern signs; an empty file."""
+    expected = []
+    for number, (name, header) in enumerate([("p 1.csv", "a;b"), ("p[2].csv", "b;x;a"), ("p%203.csv", "a;b"), ("p4.csv", "x;b;a")]):
+        rows = [{"a": f"a{number}-{i}", "b": f"b{number}-{i}", "x": "x"} for i in range(100)]
+        lines = [";".join(row[c] for c in header.split(";")) for row in rows]
+        (tmp_path / name).write_text("\n".join([header, *lines]) + "\n")
+        expected += [(name, row["a"], row["b"]) for row in rows]
+    (tmp_path / "p5.csv").write_text("")
+    got = read_delimited(spark, str(tmp_path), ["a", "b"], numbered=True)
+    numbers = {(r.a, r.b): r.source_row for r in got.collect()}
+    assert len(numbers) == 400 and sorted(numbers.values()) == list(range(1, 401))
+    for start in range(0, 400, 100):  # rows of a file stay together and in order
+        own = [numbers[expected[k][1:]] for k in range(start, start + 100)]
+        assert own == list(range(own[0], own[0] + 100))
+
+
+def test_a_file_without_a_column_fails(spark, tmp_path):
     (tmp_path / "p1.csv").write_text("a;b\n1;2\n")
-    (tmp_path / "p2.csv").write_text("b;a\n1;2\n")
-    with pytest.raises(Exception):
-        read_delimited(spark, str(tmp_path), ["a", "b"]).collect()
+    (tmp_path / "p2.csv").write_text("b;c\n1;2\n")
+    with pytest.raises(ValueError, match="no column a"):
+        read_delimited(spark, str(tmp_path), ["a", "b"])
+
+
+def test_heads_are_found_without_reading_on(spark, tmp_path, small_splits):
+    from meldspark.sources.heads import files_by_head
+
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    for name, head in (("x.txt", "one"), ("y.txt", "two"), ("z.txt", "one")):
+        (tmp_path / name).write_text("# note\n" * 300 + head + "\n" + "rest\n" * 2000)
+    groups = files_by_head(spark, str(tmp_path), "^(one|two)$", F.upper("value"))
+    assert [(head, [f.rsplit("/", 1)[1] for f in files]) for head, files in groups] == [
+        ("ONE", ["x.txt", "z.txt"]), ("TWO", ["y.txt"]),
+    ]
+    assert files_by_head(spark, str(tmp_path), "nowhere", F.col("value")) == []
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_yaml_files_are_cut_at_their_own_indents(spark, tmp_path, small_splits):
+    from meldspark.sources.yaml_stream import entry_chunks, files_by_indent
+
+    expected = []
+    for number, indent in enumerate(("", "  ", "", "    ")):
+        entry = f'{indent}- member_id: {{}}\n{indent}  contact:\n{indent}    email: "x{{}}"\n'
+        ids = range(1000 * number, 1000 * number + 150)
+        (tmp_path / f"m{number}.yml").write_text("# head\n---\n" + "".join(entry.format(i, i) for i in ids))
+        expected += [(str(i), f"x{i}") for i in ids]
+    (tmp_path / "m9.yml").write_text("# nothing\n")
+    groups = files_by_indent(spark, str(tmp_path))
+    assert [(indent, len(files)) for indent, files in groups] == [("", 2), ("  ", 1), ("    ", 1)]
+    for indent, files in groups:  # each file falls into several tasks
+        assert entry_chunks(spark, files, indent).select(F.spark_partition_id()).distinct().count() > 4
+    rows = read_yaml_stream(spark, str(tmp_path), YAML_SCHEMA, numbered=True).collect()
+    assert [(r.member_id, r.contact.email) for r in sorted(rows, key=lambda r: r.source_row)] == expected
 
 
 def test_numbering_shuffles_no_data_rows(spark, tmp_path):
