@@ -19,8 +19,8 @@ from meldspark.operators.lookup import lookup_left
 from meldspark.operators.merge import merge_by_trust
 from meldspark.operators.metrics import run_summary
 from meldspark.operators.rules import first_failing_rule, full_match, split_by_tag
-from meldspark.session import stage
-from meldspark.sinks.publish import publish
+from meldspark.session import remove_staged, stage, staged_tables
+from meldspark.sinks.publish import publish, remove_old_runs
 from meldspark.sources.countries import COUNTRIES, country_dictionary, country_spellings, country_table
 from meldspark.sources.files import read_delimited, read_json_lines
 from meldspark.sources.numbering import POSITION, add_numbers, split_shifts
@@ -284,9 +284,12 @@ def compare_with_manifest(summary: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def run_job(spark: SparkSession, folder: str, root: str, dictionary: DataFrame | None = None) -> JobReport:
     """The whole job: reads the three files of ``folder``, consolidates, publishes below ``root``, summarises, and compares
-    with the manifest if the folder has one."""
+    with the manifest if the folder has one. What it staged is removed at the end, and so are runs before the last two."""
+    before = len(staged_tables())
     result = consolidate_files(spark, folder, dictionary)
     run = publish_customers(result, root)
     summary = stage(result.summary, "summary")
+    remove_staged(spark, before, keep_last=True)  # all but the summary
+    remove_old_runs(spark, root)
     manifest = read_json_document(spark, f"{folder}/{MANIFEST_FILE}", MANIFEST_SCHEMA)
     return JobReport(run, summary, None if manifest is None else compare_with_manifest(summary, manifest))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,17 @@ def build_session(app_name: str = "meldspark", master: str | None = None, **sett
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Sends this package to all workers, now and later ones; for clusters where it is neither installed nor submitted with
+    ``--py-files``. Functions that run in tasks are pickled by reference, so workers have to import it."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="meldspark-"), "meldspark"), "zip", os.path.dirname(root), os.path.basename(root)
+    )
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

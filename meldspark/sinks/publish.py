@@ -2,11 +2,12 @@
 
 Every run writes its tables to new folders, checks what was written, and only then appends one commit row.
 Readers follow the newest commit, so they see all tables of a run or none, also on object stores without
-rename. A failed check leaves the previous tables in place.
+rename. A failed check leaves the previous tables in place. ``remove_old_runs`` deletes what no commit in use names.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -14,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meldspark.session import delete_path
+
 COMMIT_SCHEMA = "sequence long, run string, tables array<string>"
 SHOWN = 20  # violations named in the error itself; the written report has all
 
@@ -26,14 +29,18 @@ class LostRace(RuntimeError):
     """Another publisher committed first; publish again on top of its commit."""
 
 
-def _newest(spark: SparkSession, root: str):
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        commits = spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", True).json(f"{root}/commits")
+        return spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", True).json(f"{root}/commits")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return commits.orderBy(F.desc("sequence"), "run").first()
+
+
+def _newest(spark: SparkSession, root: str):
+    commits = _commits(spark, root)
+    return None if commits is None else commits.orderBy(F.desc("sequence"), "run").first()
 
 
 def _commit(spark: SparkSession, root: str, sequence: int, run: str, tables: list[str]) -> None:
@@ -90,3 +97,37 @@ def current(spark: SparkSession, root: str, table: str) -> DataFrame:
     if last is None:
         raise LookupError(f"nothing was published below {root}")
     return spark.read.parquet(f"{root}/{table}/{last['run']}")
+
+
+def _folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """(name, hours since the last change) of the folders in ``path``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    now = time.time()
+    found = [f for f in system.listStatus(target) if f.isDirectory()]
+    return [(f.getPath().getName(), (now - f.getModificationTime() / 1000) / 3600) for f in found]
+
+
+def remove_old_runs(spark: SparkSession, root: str, keep: int = 2, hours: float = 24.0) -> list[str]:
+    """Deletes the runs below ``root`` that no commit in use names, and returns their ids.
+
+    In use are the newest ``keep`` commits, so whoever has opened the tables before the last publish can go on reading.
+    Runs without a commit stay for ``hours`` after their last change: they may belong to a publisher still at work; after that they are
+    left over from a failed or rejected one. The commits themselves stay, they are a line each and number the next one.
+    """
+    if keep < 1:
+        raise ValueError("the newest commit is always in use")
+    commits = _commits(spark, root)
+    named = [] if commits is None else [r["run"] for r in commits.orderBy(F.desc("sequence"), "run").select("run").collect()]
+    in_use, old = set(named[:keep]), set(named[keep:])
+    removed = set()
+    for table, _ in _folders(spark, root):
+        if table == "commits":
+            continue
+        for run, age in _folders(spark, f"{root}/{table}"):
+            if run not in in_use and (run in old or age >= hours):
+                delete_path(spark, f"{root}/{table}/{run}")
+                removed.add(run)
+    return sorted(removed)

@@ -274,3 +274,28 @@ def test_stage_cuts_lineage(spark):
     staged = stage(spark.range(5).withColumn("x", F.rand()), "test")
     assert staged.count() == 5 and "Range" not in staged._jdf.queryExecution().toString()
     assert staged.inputFiles()[0].startswith(("file:", shared_dir(spark)))
+
+
+def test_package_reaches_workers(tmp_path):
+    """In a process whose workers know the package only because it was sent to them."""
+    import os
+    import subprocess
+    import sys
+
+    import meldspark
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(meldspark.__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from meldspark.session import build_session, ship_package
+spark = build_session("ship", "local[1]", spark__ui__enabled="false")
+ship_package(spark)
+where = F.udf(lambda x: __import__("meldspark.session").__file__)
+print("found in", spark.range(1).select(where("id")).first()[0])
+spark.stop()
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    found = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert "found in" in found.stdout and "meldspark.zip" in found.stdout, found.stderr[-2000:]
