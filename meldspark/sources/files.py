@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meldspark.sources.heads import files_by_head
@@ -42,7 +41,7 @@ def read_delimited(
     options = dict(sep=sep, quote='"', escape='"', header=header, multiLine=multi_line, mode="FAILFAST")
     groups: list[list[str]] = [[path]]
     if header and len(spark.read.text(path).inputFiles()) > 1:
-        found = files_by_head(spark, path, "", F.rtrim(F.col("value")))
+        found = files_by_head(spark, path, r"^(.*?)\s*$")
         groups = [files for _, files in found] if len(found) > 1 else groups
     parts = [_with_header(spark, files, columns, options, numbered or positioned) for files in groups]
     return _finish(reduce(DataFrame.unionByName, parts), numbered)

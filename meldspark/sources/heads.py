@@ -1,20 +1,59 @@
 """What the first lines of files say about how to read them, for folders whose files differ.
 
-Every split is read only up to its first fitting line, so the work is one small task per split, however large the files are.
+Spark lists the files of a path in the driver before it reads them; for up to ``DRIVER_FILES`` of them the driver also
+opens each, several at a time, and reads up to the first fitting line. More files are opened by one task each, which
+stops at that line too. So no file is read further than its head.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+DRIVER_FILES = 512
+THREADS = 16
+
+
+def as_path(file: str) -> str:
+    """The path that reads just this file: Spark reports names as URIs and reads paths as patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
+
+
+def _opened(spark: SparkSession, file: str):
+    """A line reader of the file, unpacked if its name says that it is packed."""
+    hadoop, jvm = spark._jvm.org.apache.hadoop, spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    path = hadoop.fs.Path(unquote(file))
+    stream = path.getFileSystem(conf).open(path)
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+
+
+def _heads_in_driver(spark: SparkSession, files: list[str], head: re.Pattern) -> Iterator[tuple[str, str]]:
+    def first(file: str) -> str | None:
+        lines = _opened(spark, file)
+        try:
+            while (line := lines.readLine()) is not None:
+                if found := head.match(line):
+                    return found[1]
+            return None
+        finally:
+            lines.close()
+
+    with ThreadPoolExecutor(THREADS) as pool:
+        yield from ((f, found) for f, found in zip(files, pool.map(first, files)) if found is not None)
+
 
 @contextmanager
 def _settings(spark: SparkSession, **values: str):
@@ -28,8 +67,8 @@ def _settings(spark: SparkSession, **values: str):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def _first_of_split(lines: DataFrame, pattern: str) -> DataFrame:
-    """The first line of every task that matches; the rest of its split is not read."""
+def _heads_in_tasks(spark: SparkSession, path: str, head: re.Pattern) -> Iterator[tuple[str, str]]:
+    pattern = head.pattern
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,24 +77,25 @@ def _first_of_split(lines: DataFrame, pattern: str) -> DataFrame:
                 yield batch.slice(place, 1)
                 return
 
-    return lines.mapInArrow(first, lines.schema)
-
-
-def files_by_head(spark: SparkSession, path: str, pattern: str, head: Column) -> list[tuple[str | None, list[str]]]:
-    """(head, files) for every different ``head`` (an expression of ``value``) of the files' first lines that match
-    ``pattern``, each list in path order. Files without such a line are left out."""
-    one_split_a_task = {
-        "spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes"),
+    one_file_a_task = {
+        "spark.sql.files.maxPartitionBytes": str(1 << 62),
+        "spark.sql.files.openCostInBytes": str(1 << 62),
         "spark.sql.execution.arrow.maxRecordsPerBatch": "16",
     }
-    with _settings(spark, **one_split_a_task):
-        position = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-        lines = spark.read.text(path).select("value", *position)
-        firsts = _first_of_split(lines, pattern).groupBy("file").agg(F.min_by("value", "start").alias("value"))
-        groups = firsts.groupBy(head.alias("head")).agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return sorted(((g["head"], [as_path(file) for file in g["files"]]) for g in groups), key=lambda g: g[1][0])
+    with _settings(spark, **one_file_a_task):
+        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+        for row in lines.mapInArrow(first, lines.schema).collect():  # one short row per file
+            yield row["file"], head.match(row["value"])[1]
 
 
-def as_path(file: str) -> str:
-    """The path that reads just this file: Spark reports names as URIs and reads paths as patterns."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
+def files_by_head(spark: SparkSession, path: str, head: str) -> list[tuple[str, list[str]]]:
+    """(head, paths) for every different head, each in path order. ``head`` is a pattern for the start of a line; the first
+    line of a file that it matches gives what its group matches. Files without such a line are left out."""
+    pattern = re.compile(head)
+    files = spark.read.text(path).inputFiles()
+    few = len(files) <= DRIVER_FILES
+    found = _heads_in_driver(spark, files, pattern) if few else _heads_in_tasks(spark, path, pattern)
+    groups = defaultdict(list)
+    for file, value in sorted(found):
+        groups[value].append(as_path(file))
+    return list(groups.items())

@@ -79,10 +79,7 @@ def _entry_parser(indent: str = ""):
 def files_by_indent(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
     """(blanks before a list entry, paths to read) of every group of files; none for a path without entries. A file is
     read no further than its first entry."""
-    if len(spark.read.text(path).inputFiles()) == 1:
-        found = spark.read.text(path).filter(F.col("value").rlike("^ *- ")).first()
-        return [(found[0][: found[0].index("-")], [path])] if found else []
-    groups = files_by_head(spark, path, "^ *- ", F.regexp_extract("value", "^( *)- ", 1))
+    groups = files_by_head(spark, path, "^( *)- ")
     return [(groups[0][0], [path])] if len(groups) == 1 else groups
 
 

@@ -189,17 +189,22 @@ def test_a_file_without_a_column_fails(spark, tmp_path):
         read_delimited(spark, str(tmp_path), ["a", "b"])
 
 
-def test_heads_are_found_without_reading_on(spark, tmp_path, small_splits):
-    from meldspark.sources.heads import files_by_head
+@pytest.mark.parametrize("in_driver", [True, False])
+def test_heads_of_files(spark, tmp_path, small_splits, monkeypatch, in_driver):
+    import gzip
 
+    from meldspark.sources import heads
+
+    monkeypatch.setattr(heads, "DRIVER_FILES", 512 if in_driver else 0)
     before = spark.conf.get("spark.sql.files.openCostInBytes")
-    for name, head in (("x.txt", "one"), ("y.txt", "two"), ("z.txt", "one")):
-        (tmp_path / name).write_text("# note\n" * 300 + head + "\n" + "rest\n" * 2000)
-    groups = files_by_head(spark, str(tmp_path), "^(one|two)$", F.upper("value"))
-    assert [(head, [f.rsplit("/", 1)[1] for f in files]) for head, files in groups] == [
-        ("ONE", ["x.txt", "z.txt"]), ("TWO", ["y.txt"]),
-    ]
-    assert files_by_head(spark, str(tmp_path), "nowhere", F.col("value")) == []
+    for name, head in (("x 1.txt", "one"), ("y[2].txt", "two"), ("z.txt", "one"), ("zz.txt.gz", "\u00e9")):
+        text = "# note\n" * 300 + f"is {head} \n" + "is other\n" * 2000
+        (tmp_path / name).write_bytes(gzip.compress(text.encode()) if name.endswith("gz") else text.encode())
+    (tmp_path / "zzz.txt").write_text("")
+    groups = heads.files_by_head(spark, str(tmp_path), r"^is (\S+)")
+    assert [(head, len(files)) for head, files in groups] == [("one", 2), ("two", 1), ("\u00e9", 1)]
+    assert [spark.read.text(files).count() for _, files in groups] == [4602, 2301, 2301]
+    assert heads.files_by_head(spark, str(tmp_path), "^(nowhere)") == []
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
 
 
