@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -454,12 +455,110 @@ def test_cut_pages_give_what_stands_before_the_cut(cut):
     assert whole.startswith(got.rstrip("&ampltg;")) or got.replace("&l", "") in whole or "&" in got
 
 
+LINKED = '<a href="/x">some linked words and more</a> '
+LONG_TEXT = "One sentence of the text, and a second one. " * 6
+
+
+@pytest.mark.parametrize("page, expected", [
+    # A whole article stays, however many links it has; an anchor is no link, and a link ends with its block.
+    (f"<article><h1>Head</h1><p>{LINKED * 3}end</p><ul><li>{LINKED}</ul></article>", "Head\n" + "some linked words and more " * 3 + "end\nsome linked words and more"),
+    ("<article><a name=top><p>Long paragraph of text.</p><p>More.</p></article>", "Long paragraph of text.\nMore."),
+    (f"<div><p><a href=/>Open link<p>{LONG_TEXT}</p></div>", LONG_TEXT.strip()),
+    # Parts of names, paragraphs and headings are no reason to strip; names made of such words only are.
+    ("<p class='market-share'>Share</p><div class='page-header'><h1>Title</h1></div><div class='notice-of-meeting'>Noon</div>", "Share\nTitle\nNoon"),
+    (f"<p class=notice>First</p><h2 id=footer>Head</h2><p>{LONG_TEXT}</p>", f"First\nHead\n{LONG_TEXT.strip()}"),
+    (f"<div class='site-header'>Site</div><div><p>{LONG_TEXT}</p></div><div id='cookie-banner2'>{LONG_TEXT}</div>", LONG_TEXT.strip()),
+    (f"<div class=notice><article><p>Text</p></article></div><div class='comment list'><p>{LONG_TEXT}</p></div>", "Text"),
+    (f"<article class=post>Text<section class=comments><article class=comment>{LONG_TEXT}</article></section></article>", "Text"),
+    # Text around an article stays; quotes inside unquoted values and open quotes swallow nothing.
+    ("<p>lead</p><article>in</article><p>after</p>", "lead\nin\nafter"),
+    ("<p>one</p><p title=it's>two</p><p>three isn't</p>", "one\ntwo\nthree isn't"),
+    ("<p title='a>b' class=x>one</p><p data-x=\"1>2\">two", "one\ntwo"),
+    (f"<div class=ad>Buy <div>{LONG_TEXT * 20}</div>", "Buy\n" + (LONG_TEXT * 20).strip()),  # not closed, and far too long for an advert
+])
+def test_html_keeps_text_whole(page, expected):
+    assert main_text(page) == expected
+
+
+def test_surge_and_dive_part_text_from_the_rest_without_names():
+    """No telling tag, class or id: menus, a row of links, a teaser and a footer line go by the sums alone."""
+    menu = "<div><ul>" + "".join(f'<li><a href="/{k}">Entry {k}</a></li>' for k in range(30)) + "</ul></div>"
+    row = '<div><div><a href="/a">Home page of us</a> | <a href="/b">All the news of today</a></div></div>'
+    text = f"<div><h1>Title</h1><p>{LONG_TEXT}</p><p>Yes.</p><ul><li>a</li><li>b</li></ul><table><tr><td>1<td>2</table></div>"
+    page = f"<body>{row}{menu}<div><div>Weather: fine</div></div>{text}{menu}<div><div>(c) 2020 Example, all rights</div></div>{row}"
+    expected = f"Title\n{LONG_TEXT.strip()}\nYes.\na\nb\n1\n2"
+    assert main_text(page) == expected
+    assert main_text(page.replace(LONG_TEXT, LONG_TEXT * 200)) == expected.replace(LONG_TEXT.strip(), (LONG_TEXT * 200).strip())
+    assert main_text(f"{menu}<p>{LONG_TEXT}</p>") == LONG_TEXT.strip()  # the edge of one stretch
+
+
+class Tree(HTMLParser):
+    """A second reading of well-formed pages: a stack of open elements, lines with the stack they stand in."""
+
+    def __init__(self):
+        super().__init__()
+        self.stack, self.lines, self.text = [], [], ""
+
+    def end(self, empty=0):
+        text = " ".join(self.text.split())
+        names = [n for n, _ in self.stack]
+        if text and not {"nav", "footer", "head", "script", "style", "title"} & set(names):
+            self.lines.append((text, "article" in names, next((i for i, c in self.stack if c), 0)))
+        self.lines += [("", False, 0)] * empty
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text += " "
+        elif tag not in ("b", "a", "meta"):
+            self.end(tag not in ("p", "h1", "li", "ul"))
+            named = (len(self.lines) + 1) if dict(attrs).get("class") == "ad" else 0
+            self.stack += [] if tag in ("p", "h1", "li", "ul", "html", "body") else [(tag, named) if not named else (named, named)]
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "a"):
+            self.end(tag not in ("p", "h1", "li", "ul"))
+            if self.stack and tag not in ("p", "h1", "li", "ul", "html", "body"):
+                self.stack.pop()
+
+    def handle_data(self, data):
+        self.text += data
+
+
+def brute_main_text(page):
+    tree = Tree()
+    tree.feed(page)
+    tree.close()
+    tree.end()
+    rows = tree.lines
+    has_article = any(content for _, content, _ in rows)
+    own = [100 + len(t) if content else len(t) * (0.25 if has_article else 1) * (0.02 if named else 1) for t, content, named in rows]
+    kept = []
+    for flow in {named for *_, named in rows}:
+        at = [k for k, r in enumerate(rows) if r[2] == flow]
+        sums = [own[k] + (own[at[i + 1]] if i + 1 < len(at) else 0) for i, k in enumerate(at)]
+        top = max([own[a] + own[b] for a, b in zip(at, at[1:])] + [own[k] for k in at])
+        for i, k in enumerate(at):  # the stretch of a line: as far as no sum is zero
+            a = next(j + 1 for j in range(i, -2, -1) if j < 0 or not sums[j])
+            b = next(j for j in range(i, len(at) + 1) if j == len(at) or not sums[j])
+            if rows[k][0] and max(sums[a:b]) >= (100 if flow else min(100, 0.3 * top)):
+                kept.append(k)
+    return "\n".join(rows[k][0] for k in sorted(kept))
+
+
 def test_html_rows(spark):
+    """All given pages, and the same with less to tell text from the rest by."""
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    plain = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "<nav>|<article>|<footer>", "<div>"), "</(nav|article|footer)>", "</div>"))
     odd = spark.createDataFrame([(None, None, None), (1, "u", ""), (1, "u", "")], pages.schema)
-    rows = extract_text(pages.union(odd)).collect()
-    assert len(rows) == pages.count() + 3
-    assert all(r.n_chars == len(r.text) for r in rows)
+    both = pages.union(odd).withColumn("text", F.lit("x"))
+    got = as_rows(extract_text(both))
+    assert got == Counter((r.page_id, r.url, t := brute_main_text(r.html or ""), len(t)) for r in both.collect())
+    unnamed = plain.withColumn("html", F.regexp_replace("html", "<a [^>]*>", "<a>"))
+    texts = {r.page_id: r.text for r in extract_text(unnamed).collect()}
+    given = {r.page_id: r.text for r in extract_text(pages).collect()}
+    same = sum(given[k] in texts[k] for k in given)
+    assert same == len(given)  # no text is lost without the tags that name it
 
 
 def brute_hits(docs, items):
