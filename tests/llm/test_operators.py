@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
@@ -419,6 +421,71 @@ def test_pii_terms_need_two_independent_texts(spark):
     assert [found[k] for k in range(48, 53)] == [[]] * 5  # copies elsewhere are one text, but two of three is too little
 
 
+def test_pii_of_a_text_with_very_many_matches(spark):
+    """A hundred thousand addresses in one text: linear, and equal to brute force."""
+    text = " ".join(f"u{i}@x{i % 7}.example" if i % 3 else f"10.{i % 300}.0.{i % 256} é" for i in range(100_000))
+    df = spark.createDataFrame([(1, text, len(text), "x")], "doc_id long, text string, n_chars long, _blocks string")
+    started = time.monotonic()
+    found = pii_spans(df).first()
+    spans = base_spans(text)
+    assert (found.n_email, found.n_ip) == (len(spans["email"]), len(spans["ip"])) and found.n_ip > 20_000
+    assert found.spans == ",".join(s for kind in ("email", "ip", "card", "phone") for s in spans[kind])
+    clean = sanitised(df).first()
+    marks = sorted((int(a), int(b), f"[{kind.upper()}]") for own in spans.values() for kind, a, b in (s.split(":") for s in own))
+    expected, at = [], 0
+    for a, b, mark in marks:
+        expected += [text[at:a], mark]
+        at = b
+    assert clean.text == "".join(expected) + text[at:] and clean.n_chars == len(clean.text) and clean._blocks == "x"
+    assert time.monotonic() - started < 120
+
+
+def brute_terms(texts):
+    """The disclosing terms of texts in each of which an address stands once at most; straight from the definition."""
+    entity_of, words, beside, context = {}, {}, {}, {}
+    for t in set(texts):
+        words[t] = set(re.findall(r"[a-z][a-z0-9]{2,}", t))
+        if found := re.search(r"[a-z0-9.]+@[a-z0-9.]+[a-z0-9]", t):
+            entity_of[t] = found[0]
+            context[t] = t[max(0, found.start() - 60) : found.start()], t[found.end() : found.end() + 60]
+            before, after = context[t]
+            beside[t] = set(re.findall(r"(?<![a-z0-9])[a-z][a-z0-9]{2,}", before if len(before) < 60 else " " + before.split(" ", 1)[-1]))
+            beside[t] |= set(re.findall(r"(?<![a-z0-9])[a-z][a-z0-9]{2,}", after if len(after) < 60 else after.rsplit(" ", 1)[0]))
+    total, terms = len(set(texts)), set()
+    for entity in set(entity_of.values()):
+        own = [t for t in entity_of if entity_of[t] == entity]
+        if len({context[t] for t in own}) < 2 or len(own) == total:
+            continue
+        information = math.log2(total / len(own))
+        for term in set().union(*(beside[t] for t in own)):
+            both = [t for t in own if term in words[t]]
+            with_term = sum(term in w for w in words.values())
+            if len({context[t] for t in both}) >= 2 and math.log2(total * len(both) / (with_term * len(own))) >= 0.9 * information:
+                terms.add(term)
+    return terms
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pii_terms_are_those_of_the_definition(spark, seed):
+    draw = random.Random(seed)
+    names = [f"name{k}" for k in range(12)]
+    texts = []
+    for _ in range(300):
+        words = draw.choices([f"word{k}" for k in range(60)], k=draw.randrange(3, 40))
+        if draw.random() < 0.4:
+            who = draw.randrange(12)
+            at = draw.randrange(len(words))
+            near = [names[who]] if draw.random() < 0.7 else [draw.choice(names)] if draw.random() < 0.3 else []
+            words[at:at] = [*near, f"mail{who}@host{who % 4}.example"]
+        elif draw.random() < 0.1:
+            words.append(draw.choice(names))
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = brute_terms(texts)
+    found = {texts[r.doc_id][int(a) : int(b)] for r in pii_spans(df).collect() for kind, a, b in (s.split(":") for s in r.spans.split(",") if s) if kind == "term"}
+    assert found == expected and 0 < len(expected) < 12
+
+
 def test_sanitised_keeps_rows_and_columns(odd):
     result = sanitised(odd)
     assert result.schema == odd.schema or result.columns == odd.columns
