@@ -9,6 +9,7 @@ import corpus_pipeline
 from meldspark.llm.op04_quality import quality_rules
 from meldspark.llm.op06_pii import pii_spans
 from meldspark.llm.tokenizer_files import load_tokenizer
+from meldspark.session import staged_tables
 from test_operators import base_spans, brute_hits, fingerprint, linked
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -77,7 +78,10 @@ def test_bpe_stage(stages):
 
 def test_run_applies_all_stages(spark, stages):
     key = F.xxhash64("doc_id", "ids")
-    whole = corpus_pipeline.run(spark, SF_DIR).agg(F.count(F.lit(1)), F.sum(key.cast("decimal(38,0)"))).first()
+    before = len(staged_tables())
+    result = corpus_pipeline.run(spark, SF_DIR)
+    assert len(staged_tables()) == before + 1  # the result; what the stages left is removed
+    whole = result.agg(F.count(F.lit(1)), F.sum(key.cast("decimal(38,0)"))).first()
     assert whole == stages[-1].agg(F.count(F.lit(1)), F.sum(key.cast("decimal(38,0)"))).first()
 
 
