@@ -10,6 +10,7 @@ from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -139,6 +140,42 @@ def test_token_counts(both):
     assert as_rows(token_counts(both)) == Counter((i, *expected(t)) for i, t in texts(both))
 
 
+def test_frequent_pretokens_of_whole_table(spark):
+    """Tier one covers all rows and whole texts: late rows, ends of long texts; and it is bounded with guaranteed entries."""
+    from meldspark.llm.op10_token_counts import Summary, frequent_lengths
+    from meldspark.llm.spans import span_hashes, text_bytes
+
+    def hashed(words):
+        data, offsets = text_bytes(pa.array(words, pa.string()))
+        return span_hashes(data, offsets[:-1], offsets[1:])
+
+    early = [f"early{i} filler" for i in range(1500)]
+    rows = [*early, "x" * 9000 + " tailword tailword", *["lateword lateword" for _ in range(40)], None, ""]
+    docs = spark.createDataFrame([(t,) for t in rows], "text string").repartition(7)
+    hashes, lengths = frequent_lengths(docs)
+    tokenizer = load_tokenizer("byte_bpe_50k.json")
+    for word in (" lateword", "lateword", " tailword", " filler"):
+        place = np.searchsorted(hashes, hashed([word])[0])
+        assert hashes[place] == hashed([word])[0]
+        assert lengths[place] == len(tokenizer.encode(word, add_special_tokens=False).ids)
+    few, _ = frequent_lengths(docs, size=8)
+    assert len(few) <= 8 and hashed([" filler"])[0] in few
+    assert [len(x) for x in frequent_lengths(docs.limit(0))] == [0, 0]
+
+    draws = np.random.default_rng(5).zipf(1.3, 40_000) % 5_000
+    exact = np.bincount(draws)
+    merged = Summary(100)
+    for part in np.array_split(np.sort(draws), 9):  # sorted: every part has other keys
+        own = Summary(100)
+        for chunk in np.array_split(part, 5):
+            keys, counts = np.unique(chunk, return_counts=True)
+            own.add(keys.astype(np.uint64), counts, keys)
+        merged.add(own.keys, own.counts, own.values)
+    assert len(merged.keys) <= 100 and (merged.keys == merged.values).all()
+    assert set(np.flatnonzero(exact > len(draws) / 100)) <= set(merged.keys.tolist())
+    assert all(0 <= exact[k] - n <= len(draws) / 100 for k, n in zip(merged.keys.tolist(), merged.counts.tolist()))
+
+
 def test_classifier_learns_quality(spark):
     sf_dir = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
