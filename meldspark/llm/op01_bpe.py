@@ -6,7 +6,8 @@ chunk are checked together against tables of known tokens and pairs; only words
 step by step. Spark deals out the rows; no shuffle is needed and a lost task is simply run again.
 
 Defined cases: null text counts as empty and gives no ids; rows are independent, so repeated rows and ties need no
-rule; an empty table gives an empty result; extra columns are ignored by ``bpe_encode`` unless named in ``keep``.
+rule; an empty table gives an empty result; extra columns are ignored by ``bpe_encode`` unless named in ``keep``, and a kept
+column with the name of a result column is refused. Very long texts: memory follows a chunk or the longest text.
 """
 
 from __future__ import annotations
@@ -203,6 +204,8 @@ def bpe_encode(
     docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", vocabulary: str = VOCABULARY
 ) -> DataFrame:
     """Columns ``keep``, then ``ids`` array<int>: the ids of every whole text."""
+    if "ids" in keep:
+        raise ValueError("a kept column is named ids; rename it first")
     bound_batches(docs.sparkSession)
     rows = docs.select(*keep, F.col(text).alias("_text"))
     schema = rows.select(*keep, F.lit(None).cast("array<int>").alias("ids")).schema
@@ -219,6 +222,8 @@ def bpe_encode(
 
 def bpe_decode(encoded: DataFrame, keep: Sequence[str] = ("doc_id",), ids: str = "ids", vocabulary: str = VOCABULARY):
     """Columns ``keep``, then ``text``: the decoded text; null ids give an empty one."""
+    if "text" in keep:
+        raise ValueError("a kept column is named text; rename it first")
     rows = encoded.select(*keep, F.col(ids).alias("_ids"))
     schema = rows.select(*keep, F.lit("").alias("text")).schema
 

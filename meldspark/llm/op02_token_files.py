@@ -11,7 +11,8 @@ where no token can reach across: at white space, and between an ASCII letter or
 
 Defined cases: null text counts as empty and has the end id alone; null doc_id comes first; rows with one doc_id are
 ordered by a hash of the text, equal rows are interchangeable; an empty table gives no rows; extra columns are stored
-only if named in ``metadata``.
+only if named in ``metadata``, and one with the name of a result column is refused. Very long texts: memory follows a
+chunk or the longest text.
 """
 
 from __future__ import annotations
@@ -106,6 +107,8 @@ def encode_in_order(
     docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, end_id: int = END_ID, metadata: Sequence[str] = ()
 ) -> DataFrame:
     """(doc_id, metadata, n_tokens, shard_start, shard, token_ids): documents in ascending order, shard by shard."""
+    if taken := {"doc_id", "n_tokens", "shard_start", "shard", "shard_base", "start", "token_ids"} & set(metadata):
+        raise ValueError(f"metadata columns are named like results: {sorted(taken)}; rename them first")
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *metadata, F.col(text).alias("_text"))
     tie = F.xxhash64("_text")

@@ -5,13 +5,16 @@ suffixes (cut at the end of their document) are sorted into a suffix array by pr
 benchmark's suffixes ranked in the same order. Every benchmark window is then found by binary search in the sorted
 suffixes: an interval of the array holds all its occurrences, wherever they start. Occurrences that continue
 each other are joined into the longest verbatim matches. Documents stay whole in one shard, so nothing is shuffled.
+``with_stretches`` joins the matches of a document into stretches of hit words, which do not depend on which of several
+equal windows stands for the others, nor on blocks.
 
 The benchmark is the stated query set. It is read in blocks of at most ``BLOCK_BYTES`` of text (single items may be
 longer), chosen by counted sizes; every block is one pass over the documents, and only the block of a pass is broadcast.
 
 Defined cases: null, empty and wordless documents have no words and are clean; null and wordless items never
 occur; items of equal text are all reported; a null item_id is not listed, but its words are hit; repeated rows and equal
-doc_ids are separate rows; an empty table on either side gives no hits; extra columns are left alone.
+doc_ids are separate rows; an empty table on either side gives no hits; extra columns are left alone, and a kept
+column with the name of a result column is refused. Very long texts: memory follows a shard or the longest text.
 """
 
 from __future__ import annotations
@@ -237,6 +240,8 @@ def contamination(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Columns ``keep``, n_words, n_hit, spans (longest matches with their places) and item_ids of every document."""
+    if taken := {"n_words", "n_hit", "spans", "item_ids"} & set(keep):
+        raise ValueError(f"kept columns are named like results: {sorted(taken)}; rename them first")
     bound_batches(docs.sparkSession)
     rows = docs.select(*keep, F.col(text).alias("_text"))
     blocks = benchmark_blocks(benchmark, block_bytes)
@@ -264,14 +269,48 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text
     return contamination(packed, benchmark, ("row",)).filter("n_hit = 0").select("row.*")
 
 
+def stretches_of(owners: np.ndarray, starts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, first word, words) of the runs of words inside any span; spans come in order of owner and start."""
+    if not len(starts):
+        return owners, starts, words
+    room = int((starts + words).max()) + 1
+    begin = owners * room + starts
+    reach = np.maximum.accumulate(begin + words)
+    first = np.ones(len(begin), bool)
+    first[1:] = (begin[1:] > reach[:-1]) | (owners[1:] != owners[:-1])
+    at = np.flatnonzero(first)
+    return owners[at], starts[at], reach[np.append(at[1:], len(begin)) - 1] - begin[at]
+
+
+def with_stretches(found: DataFrame) -> DataFrame:
+    """``found`` and a column ``stretches`` array<struct<start, words>>: the runs of words inside any of ``spans``."""
+    schema = found.withColumn("stretches", F.lit(None).cast("array<struct<start:long,words:long>>")).schema
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column("spans")
+            owners = np.repeat(np.arange(batch.num_rows), np.diff(spans.offsets.to_numpy()))
+            start, words = (spans.flatten().field(name).to_numpy() for name in ("start", "words"))
+            owner, first, size = stretches_of(owners, start, words)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=batch.num_rows))])
+            values = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(size, pa.int64())], ["start", "words"])
+            joined = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([*batch.columns, joined], schema.names)
+
+    return found.mapInArrow(join, schema)
+
+
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every document."""
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hit_spans) of every document; ``hit_spans`` has the
+    places: ``first word:words`` of every stretch of hit words, words numbered from 0, comma-joined."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return contamination(rows, benchmark).select(
+    place = lambda s: F.concat_ws(":", s["start"].cast("string"), s["words"].cast("string"))
+    return with_stretches(contamination(rows, benchmark)).select(
         "doc_id",
         "n_words",
         "n_hit",
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.array_join(F.transform("stretches", place), ",").alias("hit_spans"),
     )

@@ -17,11 +17,14 @@ windows AS (SELECT u, m, s, array_to_string(w[s:s + m - 1], ' ') AS k FROM place
 hits AS (SELECT u, windows.m AS m, s, item_id FROM windows JOIN wanted USING (m, k)),
 covered AS (SELECT u, unnest(range(s, s + m)) AS p FROM hits),
 counted AS (SELECT u, count(DISTINCT p) AS n_hit FROM covered GROUP BY u),
+numbered AS (SELECT u, p, p - row_number() OVER (PARTITION BY u ORDER BY p) AS g FROM (SELECT DISTINCT u, p FROM covered)),
+stretches AS (SELECT u, min(p) - 1 AS a, count(*) AS n FROM numbered GROUP BY u, g),
+placed AS (SELECT u, string_agg(a || ':' || n, ',' ORDER BY a) AS hit_spans FROM stretches GROUP BY u),
 named AS (SELECT u, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS listed
           FROM (SELECT DISTINCT u, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY u)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs LEFT JOIN counted USING (u) LEFT JOIN named USING (u)
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(hit_spans, '') AS hit_spans
+FROM docs LEFT JOIN counted USING (u) LEFT JOIN placed USING (u) LEFT JOIN named USING (u)
 """
 
 

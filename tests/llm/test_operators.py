@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from meldspark.llm.op01_bpe import bpe_decode, bpe_digests, bpe_encode
-from meldspark.llm.op02_token_files import read_token_files, token_files, write_token_files
+from meldspark.llm.op02_token_files import encode_in_order, read_token_files, token_files, write_token_files
 from meldspark.llm.op03_quality_classifier import co_train, quality_scores
 from meldspark.llm.op04_quality import keep_good, quality_rules
 from meldspark.llm.op05_simhash import near_duplicate_rows, one_of_each_group
@@ -705,6 +705,42 @@ def test_decontamination(spark, both, block_bytes):
     assert as_rows(found) == expected
 
 
+def test_places_of_hits(spark, both):
+    """``hit_spans`` lists the runs of consecutive hit words: touching and overlapping matches are one."""
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text")
+    more = [(900, "one"), (901, "a b c d e f"), (902, None), (905, LONG[:300]), (906, LONG[200:500])]
+    items = items.union(spark.createDataFrame(more, "item_id long, text string"))
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = set()
+    for r in items.collect():
+        w = split(r.text)
+        windows |= {tuple(w[k : k + min(10, len(w))]) for k in range(max(1, len(w) - 9)) if w}
+    expected = Counter()
+    for i, t in texts(both):
+        w, hit = split(t), set()
+        for m in {len(x) for x in windows}:
+            for k in range(len(w) - m + 1):
+                if tuple(w[k : k + m]) in windows:
+                    hit.update(range(k, k + m))
+        starts = sorted(p for p in hit if p - 1 not in hit)
+        ends = sorted(p + 1 for p in hit if p + 1 not in hit)
+        expected[i, ",".join(f"{a}:{b - a}" for a, b in zip(starts, ends))] += 1
+    assert as_rows(contaminated_documents(both, items).select("doc_id", "hit_spans")) == expected
+    assert any("," in places for _, places in expected)
+
+
+def test_kept_columns_named_like_results(spark):
+    docs = spark.createDataFrame([(1, "a", 2, [3])], "doc_id long, text string, shard long, ids array<int>")
+    items = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    for call in (
+        lambda: bpe_encode(docs, ("doc_id", "ids")), lambda: bpe_decode(docs, ("doc_id", "text")),
+        lambda: encode_in_order(docs, metadata=["shard"]),
+        lambda: contamination(docs.withColumnRenamed("ids", "spans"), items, ("doc_id", "spans")),
+    ):
+        with pytest.raises(ValueError, match="rename"):
+            call()
+
+
 def test_longest_matches_have_places(spark):
     item = " ".join(f"w{k}" for k in range(30))
     docs = spark.createDataFrame([(1, f"x y {item} z"), (2, "nothing " * 20)], "doc_id long, text string")
