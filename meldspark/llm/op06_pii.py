@@ -8,7 +8,7 @@ are spans of kind ``term`` in every text and at every place, beside e or not, an
 
 A single text says nothing about its words: each rare one of them would reveal e. A second, independent text is needed,
 and is enough: by chance it has t only with the small share of texts that have t. Texts with the same surroundings of e
-are not independent, so copies and near copies are one piece of evidence.
+(the same set of them, where e stands several times) are not independent, so copies and near copies are one piece of evidence.
 
 All steps are DataFrame expressions. A text is cut at the matches of a pattern (the same scan that extracts them),
 so places follow from lengths; patterns are anchored at run starts and possessive, so no text makes them
@@ -226,7 +226,10 @@ def revealing_terms(rows: DataFrame, source: str) -> DataFrame:
     """
     beside = rows.filter(F.size("_near") > 0).select("_hash", F.explode("_near").alias("o")).select("_hash", "o.*")
     named = rows.filter(F.size("_named") > 0).select("_hash", F.explode("_named").alias("e")).select("_hash", "e.*")
-    present = stage(named.groupBy("_hash", "entity").agg(F.min("context").alias("context")), "pii-present")
+    # All surroundings of an entity in a text, in one number whatever their order: a text that shares some of them with
+    # another text and has others too is evidence of its own.
+    present = named.distinct().groupBy("_hash", "entity").agg(F.bit_xor("context").alias("context"))
+    present = stage(present, "pii-present")
     independent = F.count_distinct("context") >= INDEPENDENT
     entities = present.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"), independent.alias("_enough"))
     entities = entities.filter("_enough").drop("_enough")

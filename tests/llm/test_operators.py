@@ -458,6 +458,21 @@ def test_pii_terms_need_two_independent_texts(spark):
     assert [found[k] for k in range(48, 53)] == [[]] * 5  # copies elsewhere are one text, but two of three is too little
 
 
+def test_pii_terms_of_entities_that_stand_several_times(spark):
+    """Texts that share one place of an entity, word for word, and have another one each are independent; near copies are not."""
+    far = "one of many plain words, " * 8
+    rows = [f"one of many plain words, number{k}" for k in range(200)]
+    for k in range(16):
+        same = f"Zorb{k} mailed m{k}@q.example as ever"
+        rows += [f"{same} {far}first{k} m{k}@q.example here", f"{same} {far}then m{k}@q.example second{k}"]
+        rows += [f"Onceler{k} mailed o{k}@q.example as ever {far}then o{k}@q.example now {far}{x}" for x in ("near1", "near2")]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii_spans(docs).collect()}
+    for i, text in enumerate(rows):
+        terms = [s.split(":")[1:] for s in found[i].split(",") if s.startswith("term:")]
+        assert [text[int(a) : int(b)] for a, b in terms] == re.findall(r"Zorb\d+", text)
+
+
 def test_pii_of_a_text_with_very_many_matches(spark):
     """A hundred thousand addresses in one text: linear, and equal to brute force."""
     text = " ".join(f"u{i}@x{i % 7}.example" if i % 3 else f"10.{i % 300}.0.{i % 256} é" for i in range(100_000))
