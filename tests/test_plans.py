@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
+from meldspark.operators import integrity
 from meldspark.operators.integrity import orphans
 from meldspark.operators.merge import keep_first, merge_by_trust
 
@@ -149,3 +150,14 @@ def test_yaml_stream_takes_one_range_shuffle(spark, no_coalescing, monkeypatch):
     rows = read_yaml_stream(spark, path, "id long", numbered=True).collect()
     assert sorted((r.source_row, r.id) for r in rows) == [(i + 1, i) for i in range(1000)]
     assert remove_staged(spark, before) > 0 and len(staged_tables()) == before
+
+
+def test_duplicate_keys_of_a_task_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(integrity, "ROWS_PER_TASK", 1000, raising=False)
+    rows = spark.range(20_000).union(spark.range(20_000)).union(spark.range(1).crossJoin(spark.range(5_000).select()))
+    rows = rows.union(spark.createDataFrame([(None,), (None,), (77_777,)], "id long"))
+    found = integrity.duplicate_keys(rows, ["id"])
+    assert {r.rows for r in found.filter("id > 0").collect()} == {2} and found.filter("id = 0").first().rows == 5_002
+    assert found.count() == 20_000
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert max(sizes) <= 1000
