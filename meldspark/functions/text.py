@@ -17,6 +17,9 @@ SPACE_SEPARATORS = (
 # What ``str.split()`` cuts on: Unicode white space and the four ASCII information separators.
 WORD_GAP = r"(?U)[\s\x1c-\x1f]+"
 
+# What JSON escapes, character by character, which Java looks up in a table.
+TO_ESCAPE = "[" + "".join(rf"\x{code:02x}" for code in (*range(0x20), ord('"'), ord("\\"))) + "]"
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -55,8 +58,11 @@ def upper_letter(letter: Column) -> Column:
 def proper_case(text: Column | str) -> Column:
     """First letter of the trimmed text upper, all the rest lower; blank gives NULL."""
     clean = trim_spaces(text)
+    first, rest = F.left(clean, F.lit(1)), F.substring(clean, 2, 2**31 - 1)
+    plain = F.length(clean) == F.octet_length(clean)  # ASCII needs none of the rules for special letters
     return F.when(
-        clean != "", F.concat(upper_letter(F.left(clean, F.lit(1))), lower_text(F.substring(clean, 2, 2**31 - 1)))
+        clean != "",
+        F.when(plain, F.concat(F.upper(first), F.lower(rest))).otherwise(F.concat(upper_letter(first), lower_text(rest))),
     )
 
 
@@ -96,12 +102,15 @@ def money_text(cents: Column | str, separator: str) -> Column:
 
 
 def json_quoted(text: Column | str) -> Column:
-    """A JSON string literal, which is also a double-quoted YAML scalar. NULL gives "null"."""
+    """A JSON string literal, which is also a double-quoted YAML scalar. NULL gives "null".
+
+    Only texts with a character to escape go through the JSON writer, which costs many times the quotes.
+    """
     value = _col(text)
     document = F.to_json(F.struct(value.alias("v")))
-    return F.when(value.isNull(), F.lit("null")).otherwise(
-        F.substring(document, F.lit(6), F.length(document) - 6)
-    )
+    escaped = F.substring(document, F.lit(6), F.length(document) - 6)
+    quoted = F.when(value.rlike(TO_ESCAPE), escaped).otherwise(F.concat(F.lit('"'), value, F.lit('"')))
+    return F.when(value.isNull(), F.lit("null")).otherwise(quoted)
 
 
 @lru_cache(maxsize=1)

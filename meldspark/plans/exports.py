@@ -106,17 +106,18 @@ def legacy_entries(records: DataFrame) -> DataFrame:
     return records.select(*ORDER, member_entry({"member_id": F.col("customer_id").cast("string")} | values).alias("entry"))
 
 
+# Sorting reads its input twice, once for the ranges, so records are sorted before their texts are made, or those are staged.
 def write_crm(records: DataFrame, path: str) -> None:
-    write_delimited(crm_rows(records).orderBy(*ORDER), path, CRM_COLUMNS, sep=";", header=True)
+    write_delimited(crm_rows(records.orderBy(*ORDER)), path, CRM_COLUMNS, sep=";", header=True)
 
 
 def write_webshop(records: DataFrame, path: str) -> None:
-    write_lines(webshop_lines(records).orderBy(*ORDER), path, "line")
+    write_lines(webshop_lines(records.orderBy(*ORDER)), path, "line")
 
 
 def write_legacy(records: DataFrame, path: str, per_document: int = 5000) -> None:
     title = f"Member export, {per_document} members per document"
-    write_yaml_stream(legacy_entries(records), path, "entry", ORDER, per_document, title)
+    write_yaml_stream(stage(legacy_entries(records), "entries"), path, "entry", ORDER, per_document, title)
 
 
 def generate_sources(

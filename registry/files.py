@@ -13,7 +13,7 @@ from meldspark.plans.customers import (
     consolidate_files,
 )
 from meldspark.plans.exports import MEMBER_LINES, member_entry
-from meldspark.session import new_shared_path
+from meldspark.session import new_shared_path, stage
 from meldspark.sinks.files import (
     sorted_output,
     write_delimited,
@@ -168,7 +168,8 @@ def write_raw_sources(spark, sf_dir, folder):
     paths = {"email": "contact.email", "phone": "contact.phone"}
     paths |= {field: f"location.{field}" for field in ("street", "city", "postcode", "country")}
     values = {field: json_quoted(paths.get(field, field)) for _, field in MEMBER_LINES if field}
-    members = legacy.select("source_row", member_entry(values).alias("entry"))
+    # Staged, because the sort reads its input twice and the entries cost more than it does.
+    members = stage(legacy.select("source_row", member_entry(values).alias("entry")), "members")
     write_yaml_stream(
         members, f"{folder}/{LEGACY_FILE}", "entry", ["source_row"], per_document=700, title="Members"
     )

@@ -304,3 +304,25 @@ spark.stop()
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     found = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
     assert "found in" in found.stdout and "meldspark.zip" in found.stdout, found.stderr[-2000:]
+
+
+def test_yaml_entries_are_made_once(spark, tmp_path):
+    """A sort reads its input twice; making the entries is the dear part and happens before."""
+    from meldspark.plans.exports import write_legacy
+
+    made = spark.sparkContext.accumulator(0)
+
+    def name(number):
+        made.add(1)
+        return f"N{number}"
+
+    texts = "'x' last_name, 'e' email, 'p' phone, 's' street, 'c' city, 'z' postal_code, 'X' native_name"
+    rows = spark.range(500).selectExpr(
+        "id record_id", "id customer_id", "0 copy", *texts.split(", "), "DATE'2000-01-02' birth_date", "true is_active",
+        "TIMESTAMP_NTZ'2020-01-02 03:04:05' registered_at", "id lifetime_cents",
+        *[f"CAST(NULL AS STRING) {c}" for c in ("birth_text", "country_text", "value_text")],
+    ).withColumn("first_name", F.udf(name, "string")("record_id"))
+    write_legacy(rows, f"{tmp_path}/stream", per_document=7)
+    read = read_yaml_stream(spark, f"{tmp_path}/stream", "member_id string, name string", numbered=True)
+    assert {(r.source_row, r.member_id, r.name) for r in read.collect()} == {(k + 1, str(k), f"x, N{k}") for k in range(500)}
+    assert made.value == 500
